@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 def circular_grams(text: Column, k: int) -> Column:
     """The grams of length k+1 at every position of ``text``.
 
-    The context of the first characters is taken from the end of the text. The text is split
-    into characters once, so the cost is linear in its length; texts shorter than k give nothing.
+    The context of the first characters is taken from the end of the text. Shifted copies of the
+    character array are zipped k times, so the cost is linear in the text (indexing into an array
+    or string from inside a lambda would build that array again for every position). Texts
+    shorter than k give nothing.
     """
     chars = F.split(text, "")
-    ring = F.concat(F.slice(chars, F.char_length(text) - (k - 1), F.lit(k)), chars)
-    grams = F.transform(
-        F.sequence(F.lit(0), F.char_length(text) - 1),
-        lambda i: F.concat(*[F.get(ring, i + step) for step in range(k + 1)]),
-    )
-    return F.when(F.char_length(text) >= k, grams)
+    length = F.char_length(text)
+    ring = F.concat(F.slice(chars, length - (k - 1), F.lit(k)), chars)
+    grams = F.slice(ring, F.lit(1), length)
+    for step in range(1, k + 1):
+        grams = F.zip_with(grams, F.slice(ring, F.lit(step + 1), length), lambda head, char: F.concat(head, char))
+    return F.when(length >= k, grams)
 
 
 def context_of(gram: Column, k: int) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.functions.grams import circular_grams, context_of, smoothed_log
+from corpuslink.session import cut_lineage
 
 
 def _check_order(k: int) -> None:
@@ -66,12 +67,18 @@ class TextModel:
     alphabet: DataFrame
 
 
-def train(texts: DataFrame, k: int, labels: Sequence[str]) -> TextModel:
-    """Train one model per label from ``(label, text)`` rows."""
+def train(texts: DataFrame, k: int, labels: Sequence[str], materialize: bool = True) -> TextModel:
+    """Train one model per label from ``(label, text)`` rows.
+
+    The gram counts are written to the checkpoint folder once; contexts and alphabet sizes are
+    read off that copy instead of taking the texts apart again.
+    """
     _check_order(k)
     if len(set(labels)) != len(labels) or not labels:
         raise ValueError("labels must be given, each once")
     grams = gram_counts(texts.where(F.col("label").isin(list(labels))), k)
+    if materialize:
+        grams = cut_lineage(grams)
     return TextModel(k, tuple(labels), grams, context_counts(grams, k), alphabet_sizes(grams))
 
 

@@ -43,7 +43,7 @@ def word_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accepted_message(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = views.table(spark, sf_dir, "conversations")
+    lines = views.texts(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     return prefix.accepted_messages(lines, views.words(spark, sf_dir), ["conv_id", "turn"])
 
 

@@ -14,16 +14,16 @@ ROLES = ("user", "assistant")
 
 
 def _by_role(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "conversations").select(F.col("role").alias("label"), "text")
+    return views.texts(spark, sf_dir, "conversations", "role", "text").select(F.col("role").alias("label"), "text")
 
 
 def _by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "documents").select(F.col("lang").alias("label"), "text")
+    return views.texts(spark, sf_dir, "documents", "lang", "text").select(F.col("lang").alias("label"), "text")
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     turn_id = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    return views.table(spark, sf_dir, "conversations").select(turn_id.alias("doc_id"), "text")
+    return views.texts(spark, sf_dir, "conversations", "conv_id", "turn", "text").select(turn_id.alias("doc_id"), "text")
 
 
 def char_gram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def language_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def role_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = views.texts(spark, sf_dir, "documents", "doc_id", "text")
     best = textmodel.identify(_by_role(spark, sf_dir), docs, ORDER, ROLES)
     return best.withColumn("best_score", F.round("best_score", 6))
 

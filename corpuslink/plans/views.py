@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslink.functions.text import word_tokens
+from corpuslink.sources.tables import spread_scan
 from corpuslink.sources.wordlist import distinct_words
 
 
@@ -18,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a text table whose rows are about to be taken apart."""
+    return spread_scan(table(spark, sf_dir, name).select(*columns))
+
+
 # ---------------------------------------------------------------- course search
 
 
@@ -89,7 +95,7 @@ def search_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary of the documents: distinct word tokens, ordered by first appearance."""
-    tokens = table(spark, sf_dir, "documents").select(
+    tokens = texts(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id", F.posexplode(word_tokens(F.col("text"))).alias("pos", "token")
     )
     place = F.struct("doc_id", F.col("pos").cast("long").alias("pos"))
@@ -98,7 +104,7 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spoken_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "conversations")
+        texts(spark, sf_dir, "conversations", "text")
         .select(F.explode(word_tokens(F.col("text"))).alias("word"))
         .distinct()
     )

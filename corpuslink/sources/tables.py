@@ -23,6 +23,16 @@ def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[
     return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names}
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the cluster has cores.
+
+    Work that multiplies rows (tokens, grams) would otherwise run in those few tasks. A large
+    table already has more splits than cores and is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_course_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The five search tables with their fixed schemas (no inference pass)."""
     return {
