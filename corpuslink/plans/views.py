@@ -118,6 +118,46 @@ def benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- record linkage
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per document: its two longest distinct words as name, the next two as address,
+    its language as city. The whole text is read."""
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    distinct = F.array_distinct(F.transform(word_tokens(F.col("text")), F.lower))
+    ranked = F.array_sort(F.transform(distinct, lambda w: F.struct((-F.char_length(w)).alias("n"), w.alias("w"))))
+    longest = docs.select("doc_id", "lang", F.slice(ranked, 1, 4).alias("top"))
+    return longest.select(
+        F.col("doc_id").alias("rid"),
+        F.array_join(F.slice("top.w", 1, 2), " ").alias("name"),
+        F.col("lang").alias("city"),
+        F.array_join(F.slice("top.w", 3, 2), " ").alias("address"),
+    )
+
+
+def left_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of labelled documents."""
+    labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("rid"))
+    return records(spark, sf_dir).join(labelled, "rid", "left_semi")
+
+
+def right_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the other documents."""
+    labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("rid"))
+    return records(spark, sf_dir).join(labelled, "rid", "left_anti")
+
+
+def known_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each labelled document with the first unlabelled one of the same text: one link per left
+    record, however many copies there are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("same"))
+    labelled = table(spark, sf_dir, "labels").select("doc_id")
+    right = docs.join(labelled, "doc_id", "left_anti").groupBy("same").agg(F.min("doc_id").alias("right_id"))
+    left = docs.join(labelled, "doc_id", "left_semi").select(F.col("doc_id").alias("left_id"), "same")
+    return left.join(right, "same").select("left_id", "right_id")
+
+
 # ---------------------------------------------------------------- SQL of the same views
 
 _TOKEN = "[a-zA-Z][a-zA-Z0-9]*"
@@ -175,6 +215,26 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         f"SELECT DISTINCT unnest(regexp_extract_all(text, '{_TOKEN}')) AS word FROM benchmark",
     ),
+    "records": (
+        (),
+        f"""SELECT d.doc_id AS rid, coalesce(r.name, '') AS name, d.lang AS city, coalesce(r.address, '') AS address
+            FROM documents d LEFT JOIN (
+                SELECT doc_id, string_agg(w, ' ' ORDER BY k) FILTER (k <= 2) AS name,
+                       string_agg(w, ' ' ORDER BY k) FILTER (k BETWEEN 3 AND 4) AS address
+                FROM (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY length(w) DESC, w) AS k
+                      FROM (SELECT DISTINCT doc_id, lower(w) AS w FROM (
+                          SELECT doc_id, unnest(regexp_extract_all(text, '{_TOKEN}')) AS w FROM documents)))
+                GROUP BY doc_id) r ON d.doc_id = r.doc_id""",
+    ),
+    "left_records": (("records",), "SELECT * FROM records WHERE rid IN (SELECT doc_id FROM labels)"),
+    "right_records": (("records",), "SELECT * FROM records WHERE rid NOT IN (SELECT doc_id FROM labels)"),
+    "known_links": (
+        (),
+        """SELECT a.doc_id AS left_id, min(b.doc_id) AS right_id
+           FROM documents a JOIN documents b ON a.text = b.text
+           WHERE a.doc_id IN (SELECT doc_id FROM labels) AND b.doc_id NOT IN (SELECT doc_id FROM labels)
+           GROUP BY a.doc_id""",
+    ),
     "word_prefixes": (
         ("words",),
         """SELECT word, line_no, left(word, CAST(len AS INTEGER)) AS prefix, len
