@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 
 
 def circular_grams(text: Column, k: int) -> Column:
-    """The grams of length k+1 at every position of ``text``.
+    """The grams of length k+1 at every position of ``text`` (in no particular order).
 
-    The context of the first characters is taken from the end of the text. Shifted copies of the
-    character array are zipped k times, so the cost is linear in the text (indexing into an array
-    or string from inside a lambda would build that array again for every position). Texts
-    shorter than k give nothing.
+    The context of the first characters is taken from the end of the text. Starting at each of
+    the first k+1 positions, the text is cut into consecutive pieces of k+1 characters; together
+    these are all its grams. Every pass is linear and stays in one expression without lambdas.
+    Texts shorter than k give nothing.
     """
-    chars = F.split(text, "")
-    length = F.char_length(text)
-    ring = F.concat(F.slice(chars, length - (k - 1), F.lit(k)), chars)
-    grams = F.slice(ring, F.lit(1), length)
-    for step in range(1, k + 1):
-        grams = F.zip_with(grams, F.slice(ring, F.lit(step + 1), length), lambda head, char: F.concat(head, char))
-    return F.when(length >= k, grams)
+    ring = F.concat(F.right(text, F.lit(k)), text)
+    passes = [
+        F.regexp_extract_all(
+            F.substring(ring, F.lit(start + 1), F.char_length(ring)), F.lit(f"(?s).{{{k + 1}}}"), F.lit(0)
+        )
+        for start in range(k + 1)
+    ]
+    return F.when(F.char_length(text) >= k, F.flatten(F.array(*passes)))
 
 
 def context_of(gram: Column, k: int) -> Column:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
+from pyspark import cloudpickle
+
+# Tasks get this helper with the plan, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
 _CLOSES_P = set(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "

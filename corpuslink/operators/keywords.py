@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslink.functions.html_blocks import BlockShape, blocks_of
 from corpuslink.functions.text import course_code, index_words
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_SCHEMA = (
     "page_id bigint, block_no int, class string, title string, desc string, "
     "prev_adjacent boolean, prev_blank boolean"

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslink.functions.text import nearby_keys, word_tokens
+from corpuslink.session import cut_lineage
 
 MAX_LISTED = 10
 MAX_SUGGESTED = 20
@@ -31,7 +32,7 @@ def keystrokes(words: DataFrame) -> DataFrame:
 
 
 def prefix_index(words: DataFrame) -> DataFrame:
-    """``(prefix, n_words, is_word, last_word)``: one row per prefix of any word.
+    """``(prefix, n_words, is_word)``: one row per prefix of any word.
 
     Counts combine map-side, so the empty prefix (every word) costs no more than any other.
     """
@@ -41,7 +42,6 @@ def prefix_index(words: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("n_words"),
             F.max(F.col("prefix") == F.col("word")).alias("is_word"),
-            F.max("word").alias("last_word"),
         )
     )
 
@@ -103,7 +103,7 @@ def tree_positions(words: DataFrame) -> DataFrame:
 
     The position is a sum of per-prefix offsets, so no window ever spans the whole dictionary.
     """
-    steps = _tree_steps(words)
+    steps = cut_lineage(_tree_steps(words))
     own = steps.withColumnRenamed("prefix", "word")
     return (
         _depth_offsets(steps, words.select("word"))
@@ -114,7 +114,7 @@ def tree_positions(words: DataFrame) -> DataFrame:
 
 def ordered_completions(words: DataFrame, prefixes: DataFrame) -> DataFrame:
     """``(prefix, word, suffix, position)``: completions with their 0-based listing position."""
-    steps = _tree_steps(words)
+    steps = cut_lineage(_tree_steps(words))
     asked = prefixes.select(F.col("prefix").alias("word")).distinct()
     starts = asked.join(_depth_offsets(steps, asked), "word", "left").select(
         F.col("word").alias("prefix"), F.coalesce("passed", F.lit(0)).alias("start")
@@ -155,7 +155,7 @@ def decision_table(words: DataFrame, prefixes: DataFrame | None = None) -> DataF
     index = prefix_index(words)
     if prefixes is not None:
         index = index.join(prefixes.select("prefix").distinct(), "prefix", "left_semi")
-    short = index.where(F.col("n_words").between(2, MAX_LISTED)).select("prefix")
+    short = index.where(F.col("n_words").between(1, MAX_LISTED)).select("prefix")
     listed = tree_positions(words) if "line_no" in words.columns else words.select("word", F.lit(0).alias("tree_pos"))
     order = F.struct((F.col("word") != F.col("prefix")).alias("longer"), "tree_pos", "word")
     lists = (
@@ -170,8 +170,8 @@ def decision_table(words: DataFrame, prefixes: DataFrame | None = None) -> DataF
         "prefix",
         n.alias("n"),
         F.when(n == 1, "accepted").when(n <= MAX_LISTED, "list").otherwise("count_only").alias("status"),
-        "candidates",
-        F.when(n == 1, F.col("last_word")).alias("resolved_word"),
+        F.when(n > 1, F.col("candidates")).alias("candidates"),
+        F.when(n == 1, F.get("candidates", F.lit(0))).alias("resolved_word"),
     )
 
 

@@ -119,12 +119,8 @@ def gram_terms(model: TextModel, asked: DataFrame) -> DataFrame:
     return known.select("gram", F.array(*terms).alias("terms"))
 
 
-def score(model: TextModel, texts: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``(key, label, label_pos, log_prob, score)``: one row per text and label.
-
-    ``score`` is the log probability per character. Texts shorter than the order are left out
-    (see :func:`too_short`).
-    """
+def _label_rows(model: TextModel, texts: DataFrame, key: str) -> DataFrame:
+    """``(key, rows)``: per text an array with label, position, log probability and score."""
     counted = gram_counts(texts, model.k, keys=(key,))
     sums = [
         F.sum(F.col("n") * F.get("terms", F.lit(i))).alias(f"t{i}") for i in range(len(model.labels))
@@ -134,19 +130,39 @@ def score(model: TextModel, texts: DataFrame, key: str = "doc_id") -> DataFrame:
         .groupBy(key)
         .agg(F.sum("n").alias("n_chars"), *sums)
     )
-    rows = F.array(
-        *[
-            F.struct(F.lit(name).alias("label"), F.lit(i).alias("label_pos"), F.col(f"t{i}").alias("log_prob"))
-            for i, name in enumerate(model.labels)
-        ]
-    )
-    return totals.select(key, "n_chars", F.inline(rows)).select(
-        key, "label", "label_pos", "log_prob", (F.col("log_prob") / F.col("n_chars")).alias("score")
+    rows = [
+        F.struct(
+            (F.col(f"t{i}") / F.col("n_chars")).alias("score"),
+            F.lit(i).alias("label_pos"),
+            F.lit(name).alias("label"),
+            F.col(f"t{i}").alias("log_prob"),
+        )
+        for i, name in enumerate(model.labels)
+    ]
+    return totals.select(key, F.array(*rows).alias("rows"))
+
+
+def score(model: TextModel, texts: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(key, label, label_pos, log_prob, score)``: one row per text and label.
+
+    ``score`` is the log probability per character. Texts shorter than the order are left out
+    (see :func:`too_short`).
+    """
+    rows = _label_rows(model, texts, key).select(key, F.inline("rows"))
+    return rows.select(key, "label", "label_pos", "log_prob", "score")
+
+
+def attribute(model: TextModel, texts: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(key, best_label, best_score)``: the label with the highest score per text, a tie goes to
+    the later label. Chosen within the row, without another shuffle."""
+    best = F.array_max("rows")
+    return _label_rows(model, texts, key).select(
+        key, best["label"].alias("best_label"), best["score"].alias("best_score")
     )
 
 
 def best_labels(scores: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``(key, best_label, best_score)``: highest score per text, a tie goes to the later label."""
+    """The same choice for scores kept as rows."""
     rank = F.struct("score", "label_pos")
     return scores.groupBy(key).agg(
         F.max_by("label", rank).alias("best_label"), F.max("score").alias("best_score")
@@ -157,4 +173,4 @@ def identify(
     samples: DataFrame, texts: DataFrame, k: int, labels: Sequence[str], key: str = "doc_id"
 ) -> DataFrame:
     """Train on ``(label, text)`` samples and name the most likely label of every text."""
-    return best_labels(score(train(samples, k, labels), texts, key), key)
+    return attribute(train(samples, k, labels), texts, key)

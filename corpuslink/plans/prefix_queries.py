@@ -12,7 +12,8 @@ from corpuslink.plans.views import with_views
 
 
 def dictionary_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.words(spark, sf_dir).select("word", F.col("line_no.doc_id").alias("first_doc"))
+    first_doc = F.shiftright("line_no", views.PLACE_BITS)
+    return views.words(spark, sf_dir).select("word", first_doc.alias("first_doc"))
 
 
 def prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,14 +27,14 @@ def prefix_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prefix_completions_ref_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = prefix.keystrokes(views.benchmark_words(spark, sf_dir))
-    return prefix.ordered_completions(views.words(spark, sf_dir), typed).select(
+    return prefix.ordered_completions(views.stored_words(spark, sf_dir), typed).select(
         "prefix", "suffix", "position"
     )
 
 
 def prefix_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = prefix.keystrokes(views.benchmark_words(spark, sf_dir))
-    return prefix.decide(typed, views.words(spark, sf_dir)).select(
+    return prefix.decide(typed, views.stored_words(spark, sf_dir)).select(
         "prefix", "n", "status", F.array_join("candidates", " ").alias("candidates"), "resolved_word"
     )
 

@@ -47,7 +47,7 @@ def language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def language_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = textmodel.train(_by_lang(spark, sf_dir), ORDER, LANGS)
-    best = textmodel.best_labels(textmodel.score(model, _turns(spark, sf_dir)))
+    best = textmodel.attribute(model, _turns(spark, sf_dir))
     return best.withColumn("best_score", F.round("best_score", 6))
 
 

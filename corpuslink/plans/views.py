@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslink.functions.text import word_tokens
+from corpuslink.session import cut_lineage
 from corpuslink.sources.tables import spread_scan
 from corpuslink.sources.wordlist import distinct_words
 
@@ -92,16 +93,24 @@ def search_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 # ---------------------------------------------------------------- dictionary
 
+PLACE_BITS = 26  # room for 67 million words per document
+
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dictionary of the documents: distinct word tokens, ordered by first appearance."""
+    """Dictionary of the documents: distinct word tokens, ordered by first appearance (document,
+    then place in it, in one number: a minimum over a struct would need sorted aggregation)."""
     tokens = texts(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id", F.posexplode(word_tokens(F.col("text"))).alias("pos", "token")
     )
-    place = F.struct("doc_id", F.col("pos").cast("long").alias("pos"))
+    place = F.shiftleft(F.col("doc_id"), PLACE_BITS) + F.col("pos")
     return distinct_words(tokens, "token", place)
 
 
+def stored_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary as a written table, for plans that read it several times."""
+    return cut_lineage(words(spark, sf_dir))
+
+
 def spoken_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         texts(spark, sf_dir, "conversations", "text")
@@ -126,7 +135,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     its language as city. The whole text is read."""
     docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
     distinct = F.array_distinct(F.transform(word_tokens(F.col("text")), F.lower))
-    ranked = F.array_sort(F.transform(distinct, lambda w: F.struct((-F.char_length(w)).alias("n"), w.alias("w"))))
+    ranked = F.sort_array(F.transform(distinct, lambda w: F.struct((-F.char_length(w)).alias("n"), w.alias("w"))))
     longest = docs.select("doc_id", "lang", F.slice(ranked, 1, 4).alias("top"))
     return longest.select(
         F.col("doc_id").alias("rid"),
@@ -136,16 +145,12 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def left_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of labelled documents."""
-    labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("rid"))
-    return records(spark, sf_dir).join(labelled, "rid", "left_semi")
-
-
-def right_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of the other documents."""
+def record_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Records of labelled documents and of the others. The records are written once: several
+    steps read them, and each would take the texts apart again."""
     labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("rid"))
-    return records(spark, sf_dir).join(labelled, "rid", "left_anti")
+    stored = cut_lineage(records(spark, sf_dir))
+    return stored.join(labelled, "rid", "left_semi"), stored.join(labelled, "rid", "left_anti")
 
 
 def known_links(spark: SparkSession, sf_dir: str) -> DataFrame:
