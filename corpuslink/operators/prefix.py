@@ -97,13 +97,17 @@ def _depth_offsets(steps: DataFrame, prefixes: DataFrame) -> DataFrame:
     )
 
 
-def tree_positions(words: DataFrame) -> DataFrame:
-    """``(word, tree_pos)``: sorting the words below any prefix by ``tree_pos`` (the prefix
+def tree_positions(words: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """``(word, tree_pos)`` of all words, or of the ``wanted`` ones: sorting the words below any prefix by ``tree_pos`` (the prefix
     itself first) gives the order in which a prefix tree lists them.
 
     The position is a sum of per-prefix offsets, so no window ever spans the whole dictionary.
     """
     steps = cut_lineage(_tree_steps(words))
+    return _positions(steps, words if wanted is None else wanted)
+
+
+def _positions(steps: DataFrame, words: DataFrame) -> DataFrame:
     own = steps.withColumnRenamed("prefix", "word")
     return (
         _depth_offsets(steps, words.select("word"))
@@ -122,14 +126,8 @@ def ordered_completions(words: DataFrame, prefixes: DataFrame) -> DataFrame:
     starts = starts.join(
         words.select(F.col("word").alias("prefix"), F.lit(1).alias("own")), "prefix", "left"
     )
-    own = steps.withColumnRenamed("prefix", "word")
-    positions = (
-        _depth_offsets(steps, words.select("word"))
-        .join(own, "word")
-        .select("word", (F.col("passed") - F.col("jump") + F.col("land")).alias("tree_pos"))
-    )
     return (
-        _with_prefixes(positions)
+        _with_prefixes(_positions(steps, words))
         .join(starts, "prefix")
         .select(
             "prefix",
@@ -156,13 +154,16 @@ def decision_table(words: DataFrame, prefixes: DataFrame | None = None) -> DataF
     if prefixes is not None:
         index = index.join(prefixes.select("prefix").distinct(), "prefix", "left_semi")
     short = index.where(F.col("n_words").between(1, MAX_LISTED)).select("prefix")
-    listed = tree_positions(words) if "line_no" in words.columns else words.select("word", F.lit(0).alias("tree_pos"))
+    members = _with_prefixes(words.select("word")).join(short, "prefix").select("prefix", "word")
+    if "line_no" in words.columns:
+        members = cut_lineage(members)
+        members = members.join(tree_positions(words, members.select("word").distinct()), "word")
+    else:
+        members = members.withColumn("tree_pos", F.lit(0))
     order = F.struct((F.col("word") != F.col("prefix")).alias("longer"), "tree_pos", "word")
     lists = (
-        _with_prefixes(listed)
-        .join(short, "prefix")
-        .groupBy("prefix")
-        .agg(F.array_sort(F.collect_list(order)).alias("found"))
+        members.groupBy("prefix")
+        .agg(F.sort_array(F.collect_list(order)).alias("found"))
         .select("prefix", F.col("found.word").alias("candidates"))
     )
     n = F.col("n_words")
@@ -206,7 +207,7 @@ def accepted_messages(lines: DataFrame, words: DataFrame, keys: list[str], text:
     """
     tokens = lines.select(*keys, F.posexplode_outer(word_tokens(F.col(text))).alias("pos", "word"))
     checked = membership(tokens, words)
-    kept = F.array_sort(F.collect_list(F.when(F.col("is_word"), F.struct("pos", "word"))))
+    kept = F.sort_array(F.collect_list(F.when(F.col("is_word"), F.struct("pos", "word"))))
     return (
         checked.groupBy(*keys)
         .agg(kept.alias("kept"), F.count(F.when(~F.col("is_word"), F.col("word"))).alias("n_unknown"))
@@ -245,6 +246,6 @@ def keyboard_suggestions(typed: DataFrame, words: DataFrame) -> DataFrame:
         keyboard_variants(typed)
         .join(known, "suggestion", "left_semi")
         .groupBy("word")
-        .agg(F.array_sort(F.collect_list("suggestion")).alias("suggestions"))
+        .agg(F.sort_array(F.collect_list("suggestion")).alias("suggestions"))
         .where(F.size("suggestions") <= MAX_SUGGESTED)
     )

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.functions.text import NEARBY_KEYS
+from corpuslink.functions.text import NEARBY_KEYS, word_tokens
 from corpuslink.operators import prefix
 from corpuslink.plans import views
 from corpuslink.plans.views import with_views
+from corpuslink.session import cut_lineage
+from corpuslink.streaming import prefix_stream
 
 
 def dictionary_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +55,26 @@ def keyboard_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("word", F.array_join("suggestions", " ").alias("suggestions"))
 
 
+def prefix_stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every keystroke of the benchmark texts as a stream, looked up in the stored decisions."""
+    texts = (
+        spark.readStream.schema("item_id bigint, text string")
+        .option("pathGlobFilter", "benchmark.parquet")
+        .parquet(sf_dir)
+    )
+    typed = texts.select("item_id", F.explode(word_tokens(F.col("text"))).alias("word")).select(
+        "item_id",
+        F.explode(
+            F.transform(F.sequence(F.lit(1), F.char_length("word")), lambda n: F.left(F.col("word"), n))
+        ).alias("prefix"),
+    )
+    decisions = prefix.decision_table(
+        views.stored_words(spark, sf_dir), prefix.keystrokes(views.benchmark_words(spark, sf_dir))
+    )
+    seen = prefix_stream.run_available(prefix_stream.decide_stream(typed, cut_lineage(decisions)))
+    return seen.groupBy("item_id", "prefix", "n", "status").agg(F.count("*").alias("n_typed"))
+
+
 QUERIES = {
     "dictionary_words": dictionary_words,
     "prefix_counts": prefix_counts,
@@ -62,6 +84,7 @@ QUERIES = {
     "word_membership": word_membership,
     "accepted_message": accepted_message,
     "keyboard_suggestions": keyboard_suggestions,
+    "prefix_stream_lookup": prefix_stream_lookup,
 }
 
 # tree order of the words below a prefix, told by the first line of every longer prefix
@@ -85,6 +108,17 @@ _KEYS = ", ".join(
 )
 
 SQL = {
+    "prefix_stream_lookup": with_views(
+        ("word_prefixes",),
+        """SELECT t.item_id, t.prefix, coalesce(p.n, 0) AS n,
+                  CASE WHEN p.n IS NULL THEN 'misspelled' WHEN p.n = 1 THEN 'accepted'
+                       WHEN p.n <= 10 THEN 'list' ELSE 'count_only' END AS status, count(*) AS n_typed
+           FROM typed t LEFT JOIN counts p ON t.prefix = p.prefix GROUP BY ALL""",
+        """counts AS MATERIALIZED (SELECT prefix, count(*) AS n FROM word_prefixes GROUP BY prefix),
+           said AS (SELECT item_id, unnest(regexp_extract_all(text, '[a-zA-Z][a-zA-Z0-9]*')) AS word FROM benchmark),
+           typed AS (SELECT item_id, left(word, CAST(len AS INTEGER)) AS prefix
+                     FROM (SELECT item_id, word, unnest(range(1, length(word) + 1)) AS len FROM said))""",
+    ),
     "dictionary_words": with_views(
         ("word_places",), "SELECT toks[pos] AS word, min(doc_id) AS first_doc FROM word_places GROUP BY 1"
     ),

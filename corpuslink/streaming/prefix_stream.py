@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpuslink.operators.prefix import with_decisions
+from corpuslink.session import shared_folder
 
 TYPED_SCHEMA = "prefix string"
 
@@ -18,3 +19,21 @@ def decide_stream(typed: DataFrame, decisions: DataFrame) -> DataFrame:
     """Stream-static left join. Pass a written or cached decision table: a static side is planned
     again for every micro-batch."""
     return with_decisions(typed, decisions)
+
+
+def run_available(stream: DataFrame) -> DataFrame:
+    """Run a stream over the input that is there now and read back what it wrote.
+
+    Output and offsets lie in the shared folder, so a restarted query goes on where it stopped.
+    """
+    spark = stream.sparkSession
+    folder = shared_folder(spark, "stream")
+    query = (
+        stream.writeStream.format("parquet")
+        .option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/offsets")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
