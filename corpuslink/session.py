@@ -45,12 +45,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the written copy."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet below the checkpoint folder and continue from the written copy,
+    which keeps statistics and column pruning and survives the loss of any executor."""
+    spark = df.sparkSession
+    folder = shared_folder(spark, "copy")
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the checkpoint folder, which every executor can reach."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{purpose}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a stored copy that nothing will read again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
