@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslink.llm import exact_dedup, huffman, packing
+from corpuslink.llm import exact_dedup, huffman, packing, shingle_join
 from corpuslink.session import shared_folder
 
 
@@ -14,6 +14,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.similar_documents(_documents(spark, sf_dir))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir))
 
@@ -29,6 +33,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_shingle_join": op1_shingle_join,
     "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_token_files": op8_token_files,
