@@ -22,7 +22,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpuslink.llm.tokens import END_ID, default_tokenizer, encoder, text_runs
+from corpuslink.llm.tokens import END_ID, default_tokenizer, encoder
 from corpuslink.session import discard, shared_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -140,9 +140,7 @@ def _tokenised(docs: DataFrame, path: str) -> DataFrame:
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = encoder(path).encode
         for batch in batches:
-            texts = batch["text"].to_pylist()
-            for low, high in text_runs(texts):
-                ids, n_ids = run(texts[low:high])
+            for low, high, ids, n_ids in run(batch["text"]):
                 edges = np.cumsum(n_ids)
                 ids = np.insert(ids, edges, END_ID).astype("<u4")
                 edges = np.concatenate([[0], edges + np.arange(1, len(edges) + 1)])

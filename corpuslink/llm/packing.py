@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslink.llm.tokens import END_ID, default_tokenizer, encoder, text_runs
+from corpuslink.llm.tokens import END_ID, default_tokenizer, encoder
 from corpuslink.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -101,9 +101,7 @@ def cut_documents(docs: DataFrame, max_tokens: int, tokenizer: str | None = None
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
         for batch in batches:
-            doc_ids, texts = batch["doc_id"].to_numpy(zero_copy_only=False), batch["text"].to_pylist()
-            for low, high in text_runs(texts):
-                ids, lengths = encode(texts[low:high])
+            for low, high, ids, lengths in encode(batch["text"]):
                 rows, at = [], 0
                 for doc_id, n in zip(batch["doc_id"][low:high].to_pylist(), lengths.tolist()):
                     own = np.append(ids[at : at + n], END_ID).astype("<u4").tobytes()
