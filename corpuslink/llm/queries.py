@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslink.llm import exact_dedup, huffman, packing, shingle_join
+from corpuslink.llm import exact_dedup, huffman, packing, shingle_join, toxicity
 from corpuslink.session import shared_folder
 
 
@@ -22,6 +22,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxic_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir), keep="largest")
 
@@ -35,6 +40,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shingle_join": op1_shingle_join,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_token_files": op8_token_files,
 }
