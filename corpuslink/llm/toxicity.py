@@ -2,8 +2,9 @@
 
 Tokens are lower-cased runs of letters and digits. From a bounded sample of labelled documents and
 the token counts of all documents, every token gets the log-odds of the toxic against the other
-class under an informative Dirichlet prior (the corpus frequencies, ``PRIOR`` tokens strong). A
-token scores the side of its confidence interval nearer to zero; all others score zero; a drift is
+class under an informative Dirichlet prior: the corpus frequencies, ``PRIOR`` tokens strong, on top
+of ``FLOOR`` for every token. In the sample a token counts once for each document, and equal texts
+count once, so copies do not weigh as evidence. A token scores the side of its confidence interval nearer to zero; all others score zero; a drift is
 taken off so that an ordinary text scores below zero on average. One linear scan finds all
 maximal-scoring segments (Ruzzo and Tompa). Segment scores of ordinary text follow an extreme-value
 law whose two parameters come from the token frequencies and the sample; the segments that are
@@ -37,8 +38,9 @@ from corpuslink.session import cut_lineage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PRIOR = 500.0
+FLOOR = 0.5
 #: Standard errors taken off a log-odds before it counts.
-CAUTION = 1.96
+CAUTION = 3.0
 FIT_ROWS = 20_000
 MAX_TOKENS = 20_000
 SIGNIFICANT = 0.05
@@ -102,7 +104,8 @@ def _scanned(batches: Iterator[pa.RecordBatch], model: Model):
 
 
 def token_counts(docs: DataFrame, label: str | None = None) -> DataFrame:
-    """``token`` (hash), ``label`` and ``n``, combined within each task only."""
+    """``token`` (hash), ``label`` (-1 without one) and ``n``, combined within each task only. With
+    labels a document counts a token once."""
     read = docs.select("text", F.col(label).cast("int").alias("label") if label else F.lit(-1).alias("label"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +125,15 @@ def token_counts(docs: DataFrame, label: str | None = None) -> DataFrame:
             labels = batch["label"].to_numpy(zero_copy_only=False)
             for low, high, data, offsets in blocks(batch["text"]):
                 hashes, begins = hasher.words(data, offsets)
-                own = np.repeat(labels[low:high], np.diff(begins))
+                if label:
+                    place = np.repeat(np.arange(high - low), np.diff(begins))
+                    order = np.lexsort((hashes, place))
+                    hashes, place = hashes[order], place[order]
+                    new = np.ones(len(hashes), bool)
+                    new[1:] = (hashes[1:] != hashes[:-1]) | (place[1:] != place[:-1])
+                    hashes, own = hashes[new], labels[low:high][place[new]]
+                else:
+                    own = np.full(len(hashes), -1)
                 for key in np.unique(own).tolist():
                     held.setdefault(key, []).append(hashes[own == key])
                 total += len(hashes)
@@ -157,7 +168,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, max_tokens
     )
     # The chosen rows are bounded by a parameter, so they may be sent to every task.
     sample = cut_lineage(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy(F.md5("text"), "text").agg(F.max("toxic").alias("toxic"))
+        .select("text", "toxic")
     )
     counted = (
         token_counts(docs).union(token_counts(sample, "toxic"))
@@ -165,16 +179,18 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, max_tokens
         .agg(*(F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(c) for k, c in ((-1, "n"), (0, "y0"), (1, "y1"))))
     )
     counted = cut_lineage(counted)
-    sums = counted.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "y0", "y1"))).first()
+    sums = counted.agg(
+        F.count("*").alias("kinds"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "y0", "y1"))
+    ).first()
     empty = Model(np.empty(0, np.uint64), np.empty(0), 0.1, 1.0, 0.0, (0.0, 0.0))
     if not sums["y0"] or not sums["y1"]:
         share = sample.agg(F.avg("toxic")).first()[0]
         share = min(max(share if share is not None else 0.0, 1e-6), 1 - 1e-6)
         return Model(empty.tokens, empty.scores, 0.1, 1.0, 0.0, (float(np.log(share / (1 - share))), 0.0))
-    prior = F.col("n") * (PRIOR / sums["n"])
+    prior, all_prior = FLOOR + F.col("n") * (PRIOR / sums["n"]), PRIOR + FLOOR * sums["kinds"]
 
     def log_odds(y: str):
-        return F.log((F.col(y) + prior) / (sums[y] + PRIOR - F.col(y) - prior))
+        return F.log((F.col(y) + prior) / (sums[y] + all_prior - F.col(y) - prior))
 
     rated = (
         counted.where("y1 + y0 > 0")
