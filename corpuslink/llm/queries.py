@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpuslink.llm import exact_dedup, huffman, packing, shingle_join, toxicity
+from corpuslink.llm import exact_dedup, huffman, packing, resharding, shingle_join, topk, toxicity, url_rules
 from corpuslink.session import shared_folder
 
 
@@ -18,6 +19,11 @@ def op1_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.similar_documents(_documents(spark, sf_dir))
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir))
 
@@ -31,24 +37,85 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir), keep="largest")
 
 
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("page_id").alias("id"), "url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge_urls(pages, rules).withColumnRenamed("id", "page_id")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "token-files")
     huffman.write_ids(_documents(spark, sf_dir), folder)
     return huffman.read_ids(spark, folder)
 
 
+def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = resharding.reshard_documents(_documents(spark, sf_dir), old_shards=12, new_shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "old_shard",
+    )
+
+
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shingle_join": op1_shingle_join,
+    "op2_top_k": op2_top_k,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_url_rules": op7_url_rules,
     "op8_token_files": op8_token_files,
+    "op9_resharding": op9_resharding,
 }
 
 SQL: dict[str, str] = {
+    "op2_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+        )
+        SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM scored
+        WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER best <= 10
+    """,
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op7_url_rules": """
+        WITH rest AS (
+            SELECT page_id,
+                   CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r
+            FROM pages
+        ),
+        parts AS (
+            SELECT page_id,
+                   translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(r, '(?s)^[^/?#]*([^?#]*)', 1) AS path
+            FROM rest
+        ),
+        rules(rule_host, rule_path, rule_verdict) AS (
+            VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+                   ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+        )
+        SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdict, 'allow') AS verdict
+        FROM parts LEFT JOIN rules
+          ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) = 1
+    """,
 }
