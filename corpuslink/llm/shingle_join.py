@@ -14,8 +14,9 @@ How it runs:
    document frequency is counted; only shingles found twice or more return to their chunk. A
    document whose rare shingles already fill its prefix is finished here.
 3. Links are collected until they connect what they can, cheapest first: every document with one
-   document of each prefix shingle, then again with another one where a shingle still joins
-   several components. What is left is compared in full, but only across components, under the
+   document of each prefix shingle, the one with the smallest share of shingles of its own (in a
+   group of edited copies, the text they come from), then again with another one where a shingle
+   still joins several components. What is left is compared in full, but only across components, under the
    multi-match rule. Components are thus exact while copies of one text are never all paired.
 
 Candidates are verified exactly, on the shingles that occur twice or more and the sets' sizes. A
@@ -84,7 +85,7 @@ def set_sizes(docs: DataFrame, width: int = 5) -> DataFrame:
 _PARTS = "g int, chunk bigint, docs binary, sizes binary, low binary, high binary, place binary"
 _BACK = "chunk bigint, docs binary, sizes binary, low binary, high binary, place binary, df binary"
 _PREFIXES = (
-    "doc bigint, n int, k int, prefix array<bigint>, level array<int>, low binary, high binary"
+    "doc bigint, n int, k int, own int, prefix array<bigint>, level array<int>, low binary, high binary"
 )
 
 
@@ -197,7 +198,7 @@ def _prefixes(percent: int):
         order = np.lexsort((tokens, df, place))
         tokens, df = tokens[order], df[order]
         edges = np.searchsorted(place[order], np.arange(len(docs) + 1)).tolist()
-        out: dict[str, list] = {name: [] for name in ("doc", "n", "k", "prefix", "level", "low", "high")}
+        out: dict[str, list] = {name: [] for name in ("doc", "n", "k", "own", "prefix", "level", "low", "high")}
         for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
             n = int(sizes[i])
             k, long, base = prefix_length(df[a:b], n, percent)
@@ -208,11 +209,11 @@ def _prefixes(percent: int):
             level[base:] = np.arange(2, long - base + 2)
             for name, value in zip(
                 out,
-                (int(docs[i]), n, k, tokens[a : a + long].astype(np.int64), level,
+                (int(docs[i]), n, k, (n - (b - a)) * 1000 // n, tokens[a : a + long].astype(np.int64), level,
                  own.astype(np.uint32).tobytes(), (own >> np.uint64(32)).astype(np.uint16).tobytes()),
             ):
                 out[name].append(value)
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())
         return pa.table({name: pa.array(v, kind) for (name, v), kind in zip(out.items(), kinds)})
 
     return choose
@@ -263,10 +264,15 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     sets = cut_lineage(returned.groupBy("chunk").applyInArrow(_prefixes(percent), _PREFIXES))
     # A prefix shingle met by one document alone links nothing.
     entries = sets.select(
-        "doc", "n", "k", F.explode(F.arrays_zip("prefix", "level")).alias("e")
-    ).select("doc", "n", "k", F.col("e.prefix").alias("token"), F.col("e.level").alias("level"))
-    met = entries.groupBy("token").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
-    entries = cut_lineage(entries.join(met.select("token", F.col("low").alias("centre")), "token"))
+        "doc", "n", "k", "own", F.explode(F.arrays_zip("prefix", "level")).alias("e")
+    ).select("doc", "n", "k", "own", F.col("e.prefix").alias("token"), F.col("e.level").alias("level"))
+    most_shared = F.min_by("doc", F.col("own") + F.pmod(F.xxhash64("doc"), F.lit(1 << 40)) / float(1 << 40))
+    met = (
+        entries.groupBy("token")
+        .agg(F.min("doc").alias("low"), F.max("doc").alias("high"), most_shared.alias("centre"))
+        .where("low < high")
+    )
+    entries = cut_lineage(entries.join(met.select("token", "centre"), "token"))
 
     one_each = (
         entries.where("doc <> centre")
@@ -280,7 +286,7 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     def across() -> DataFrame:
         """Entries of shingles that still meet several components; one of each set of copies."""
         own = (
-            entries.drop("centre")
+            entries.drop("centre", "own")
             .join(copies.select(F.col("a").alias("doc")).distinct(), "doc", "left_anti")
             .join(labels.withColumnRenamed("id", "doc"), "doc", "left")
             .withColumn("component", F.coalesce("component", "doc"))
