@@ -56,3 +56,11 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest") -> DataFrame:
         (F.col("doc_id") == F.col("keep_id")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
+
+
+def without_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
+    """``docs`` with one row of each group of equal texts, with all its columns."""
+    marks = exact_duplicates(docs, keep).where("kept")
+    own = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    stays = marks.select("doc_id", F.col("text_sha256").alias("_sha")).distinct()
+    return own.join(stays, ["doc_id", "_sha"], "left_semi").dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.llm import exact_dedup, huffman, packing, resharding, shingle_join, topk, toxicity, url_rules
+from corpuslink.llm import exact_dedup, huffman, mixing, packing, pii, resharding, shingle_join, topk, toxicity, url_rules
 from corpuslink.session import shared_folder
 
 
@@ -24,6 +24,10 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_documents(spark, sf_dir))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir))
 
@@ -57,6 +61,15 @@ def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.rates(_documents(spark, sf_dir), MIX_TARGETS, MIX_KEEP)
+    return mixed.withColumn("probability", F.round("probability", 6))
+
+
+#: Sources and topics a little flatter than they are, languages as named; half of all words.
+MIX_TARGETS = {"source": 0.7, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}, "topic": 0.8}
+MIX_KEEP = 0.5
+
 URL_RULES = [
     ("net", "/", "block"),
     ("example.net", "/en/", "allow"),
@@ -64,15 +77,79 @@ URL_RULES = [
     ("org", "/fr/", "allow"),
 ]
 
+
+
+def _mixing_sql() -> str:
+    """The same rounds as nested tables: shares, raking, calibration, draw."""
+    shares = {}
+    for dim, target in MIX_TARGETS.items():
+        if isinstance(target, dict):
+            cases = " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in target.items())
+            shares[dim] = f"CASE WHEN s > 0 THEN CASE {dim} {cases} ELSE 0.0 END ELSE 0.0 END"
+        else:
+            shares[dim] = f"CASE WHEN s > 0 THEN pow(s, {target!r}) ELSE 0.0 END"
+    tables = [
+        """seen AS (
+            SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang,
+                   CASE WHEN contains(t, ' | ') THEN 'table' WHEN regexp_matches(t, '[#$%&*]{3}') THEN 'marked'
+                        WHEN length(t) >= 4000 THEN 'long' ELSE 'prose' END AS topic,
+                   len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS n_words
+            FROM (SELECT *, coalesce(text, '') AS t FROM documents)
+        )""",
+        """cells AS (SELECT source, lang, topic, CAST(sum(n_words) AS DOUBLE) AS tokens FROM seen GROUP BY ALL)""",
+        *(
+            f"""{dim}_share AS MATERIALIZED (
+            SELECT {dim}, share / sum(share) OVER () AS share FROM (
+                SELECT {dim}, {rule} AS share FROM (SELECT {dim}, sum(tokens) AS s FROM cells GROUP BY {dim})))"""
+            for dim, rule in shares.items()
+        ),
+        "w0 AS (SELECT *, tokens AS weight FROM cells)",
+    ]
+    step = 0
+    for _ in range(mixing.ROUNDS):
+        for dim in MIX_TARGETS:
+            tables.append(
+                f"""w{step + 1} AS MATERIALIZED (
+            SELECT source, lang, topic, tokens, CASE WHEN s > 0 THEN weight * share / s ELSE 0.0 END AS weight
+            FROM (SELECT *, sum(weight) OVER (PARTITION BY {dim}) AS s FROM w{step}) JOIN {dim}_share USING ({dim}))"""
+            )
+            step += 1
+    tables.append(f"f0 AS (SELECT {MIX_KEEP} * sum(tokens) AS budget, {MIX_KEEP} * sum(tokens) AS factor FROM cells)")
+    for k in range(mixing.CALIBRATIONS):
+        tables.append(
+            f"""f{k + 1} AS MATERIALIZED (
+            SELECT any_value(budget) AS budget,
+                   CASE WHEN sum(CASE WHEN weight * factor >= tokens THEN 0.0 ELSE weight END) > 0
+                        THEN greatest(0.0, any_value(budget) - sum(CASE WHEN weight * factor >= tokens THEN tokens ELSE 0 END))
+                             / sum(CASE WHEN weight * factor >= tokens THEN 0.0 ELSE weight END)
+                        ELSE any_value(factor) END AS factor
+            FROM w{step}, f{k})"""
+        )
+    return f"""
+        WITH {", ".join(tables)},
+        p AS (
+            SELECT source, lang, topic,
+                   CASE WHEN tokens > 0 THEN least(1.0, factor * weight / tokens) ELSE {MIX_KEEP} END AS p
+            FROM w{step}, f{mixing.CALIBRATIONS}
+        )
+        SELECT doc_id, source, lang, topic, CAST(n_words AS BIGINT) AS n_words, round(p, 6) AS probability,
+               CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)
+                   / CAST(4503599627370496 AS DOUBLE) < p AS kept
+        FROM seen JOIN p USING (source, lang, topic)
+    """
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shingle_join": op1_shingle_join,
     "op2_top_k": op2_top_k,
+    "op3_pii": op3_pii,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_url_rules": op7_url_rules,
     "op8_token_files": op8_token_files,
     "op9_resharding": op9_resharding,
+    "op10_mixing": op10_mixing,
 }
 
 SQL: dict[str, str] = {
@@ -118,4 +195,5 @@ SQL: dict[str, str] = {
           ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
         QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) = 1
     """,
+    "op10_mixing": _mixing_sql(),
 }

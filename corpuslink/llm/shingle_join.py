@@ -339,3 +339,9 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
         .join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     )
+
+
+def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with the row of the smallest id of each component, with all its columns."""
+    stays = similar_documents(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(stays, "doc_id", "left_semi").select(*docs.columns)

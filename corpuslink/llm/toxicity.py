@@ -282,6 +282,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SCORED)
 
 
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that the model does not call toxic, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, results in _scanned(batches, model):
+            margin = model.weights[0] + model.weights[1] * _shape(
+                np.array([_evidence(found, max(n, 1), model)[0] for found, n in results])
+            )
+            yield batch.filter(pa.array(margin < 0))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id) -> Column:
     """Rows whose labels are never learned from."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
