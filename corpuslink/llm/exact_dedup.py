@@ -35,10 +35,11 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     # The texts of groups with several rows, each compared with the one that stays. The plan is the
     # same at every size: the list of groups grows with the data and is never broadcast.
     members = cut_lineage(hashed.join(groups.select("hash", "keep_id").hint("merge"), "hash"))
-    stays = members.where("doc_id = keep_id").groupBy("hash").agg(F.min("text").alias("kept_text"))
+    # Stored, so that both sides of the next join are plain shuffles, which the runtime can split.
+    stays = cut_lineage(members.where("doc_id = keep_id").groupBy("hash").agg(F.min("text").alias("kept_text")))
     differs = cut_lineage(
         members.join(stays.hint("merge"), "hash").where(F.col("text") != F.col("kept_text")).select("hash")
-    ).distinct()
+    )
     plain = marks.join(groups.hint("merge"), "hash", "left").join(differs, "hash", "left_anti")
     whole = plain.select(
         "doc_id",
