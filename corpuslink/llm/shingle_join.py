@@ -249,11 +249,16 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     reachable through pairs of Jaccard similarity ``percent`` / 100 or more."""
     spark = docs.sparkSession
     marks = cut_lineage(set_sizes(docs, width))
-    equal = marks.where("digest is not null and doc_id is not null").groupBy("digest", "n_shingles").agg(
-        F.min("doc_id").alias("b"), F.count("*").alias("copies")
+    # Stored, so that the join back is one of plain shuffles, in which the runtime can split a
+    # large group of copies.
+    equal = cut_lineage(
+        marks.where("digest is not null and doc_id is not null")
+        .groupBy("digest", "n_shingles")
+        .agg(F.min("doc_id").alias("b"), F.count("*").alias("copies"))
+        .where("copies > 1")
     )
     copies = cut_lineage(
-        marks.join(equal.where("copies > 1"), ["digest", "n_shingles"])
+        marks.join(equal, ["digest", "n_shingles"])
         .where("doc_id <> b")
         .select(F.col("doc_id").alias("a"), "b")
         .distinct()
