@@ -1,11 +1,12 @@
 """N-gram Jaccard join of whole texts with adaptive multi-match prefixes.
 
 A text is the set of its distinct word shingles. All sets are ordered alike: rare shingles first.
-A set of n whose partners share at least m = ceil(t n) shingles meets every partner in at least k
-shingles of its first n - m + k. With k = 1 that is the usual prefix; a longer prefix asks for k
-shared shingles before a pair is looked at. Each document takes the k whose estimated cost
-(entries it meets, and candidates to verify, at most entries / k) is least; two documents compare
-at the smaller of their two k.
+A set of n that shares at least m shingles with another meets it in at least k shingles of its first
+n - m + k. With k = 1 that is the usual prefix; a longer prefix asks for k shared shingles before a
+pair is looked at. Each document takes the k whose estimated cost (entries it meets, and candidates
+to verify, at most entries / k) is least, and the prefix for m = ceil(t n), the least that any
+partner shares. Two documents compare at the smaller of their two k, in the prefixes for the m of
+their two sizes; shingles found in no other document count against what they can share.
 
 How it runs:
 
@@ -85,7 +86,7 @@ def set_sizes(docs: DataFrame, width: int = 5) -> DataFrame:
 _PARTS = "g int, chunk bigint, docs binary, sizes binary, low binary, high binary, place binary"
 _BACK = "chunk bigint, docs binary, sizes binary, low binary, high binary, place binary, df binary"
 _PREFIXES = (
-    "doc bigint, n int, k int, own int, prefix array<bigint>, level array<int>, low binary, high binary"
+    "doc bigint, n int, k int, own int, prefix array<bigint>, place array<int>, low binary, high binary"
 )
 
 
@@ -198,18 +199,18 @@ def _prefixes(percent: int):
         order = np.lexsort((tokens, df, place))
         tokens, df = tokens[order], df[order]
         edges = np.searchsorted(place[order], np.arange(len(docs) + 1)).tolist()
-        out: dict[str, list] = {name: [] for name in ("doc", "n", "k", "own", "prefix", "level", "low", "high")}
+        out: dict[str, list] = {name: [] for name in ("doc", "n", "k", "own", "prefix", "place", "low", "high")}
         for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
             n = int(sizes[i])
             k, long, base = prefix_length(df[a:b], n, percent)
             if not base:
                 continue
             own = np.sort(tokens[a:b])
-            level = np.ones(long, np.int32)
-            level[base:] = np.arange(2, long - base + 2)
+            unique = n - (b - a)  # these come first in the order
             for name, value in zip(
                 out,
-                (int(docs[i]), n, k, (n - (b - a)) * 1000 // n, tokens[a : a + long].astype(np.int64), level,
+                (int(docs[i]), n, k, unique, tokens[a : a + long].astype(np.int64),
+                 np.arange(unique, unique + long, dtype=np.int32),
                  own.astype(np.uint32).tobytes(), (own >> np.uint64(32)).astype(np.uint16).tobytes()),
             ):
                 out[name].append(value)
@@ -240,8 +241,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(check, "a bigint, b bigint")
 
 
-def _close_in_size(percent: int):
-    return (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
+def _needed(percent: int):
+    """Shingles a pair of these sizes has to share."""
+    return F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
+
+
+def _can_share(percent: int):
+    """A pair can share no more shingles than either has beyond those of its own."""
+    need = _needed(percent)
+    return (F.col("na") - F.col("owna") >= need) & (F.col("nb") - F.col("ownb") >= need)
 
 
 def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -269,9 +277,9 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     sets = cut_lineage(returned.groupBy("chunk").applyInArrow(_prefixes(percent), _PREFIXES))
     # A prefix shingle met by one document alone links nothing.
     entries = sets.select(
-        "doc", "n", "k", "own", F.explode(F.arrays_zip("prefix", "level")).alias("e")
-    ).select("doc", "n", "k", "own", F.col("e.prefix").alias("token"), F.col("e.level").alias("level"))
-    most_shared = F.min_by("doc", F.col("own") + F.pmod(F.xxhash64("doc"), F.lit(1 << 40)) / float(1 << 40))
+        "doc", "n", "k", "own", F.explode(F.arrays_zip("prefix", "place")).alias("e")
+    ).select("doc", "n", "k", "own", F.col("e.prefix").alias("token"), F.col("e.place").alias("place"))
+    most_shared = F.min_by("doc", F.floor(1000 * F.col("own") / F.col("n")) + F.pmod(F.xxhash64("doc"), F.lit(1 << 40)) / float(1 << 40))
     met = (
         entries.groupBy("token")
         .agg(F.min("doc").alias("low"), F.max("doc").alias("high"), most_shared.alias("centre"))
@@ -291,7 +299,7 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     def across() -> DataFrame:
         """Entries of shingles that still meet several components; one of each set of copies."""
         own = (
-            entries.drop("centre", "own")
+            entries.drop("centre")
             .join(copies.select(F.col("a").alias("doc")).distinct(), "doc", "left_anti")
             .join(labels.withColumnRenamed("id", "doc"), "doc", "left")
             .withColumn("component", F.coalesce("component", "doc"))
@@ -322,13 +330,13 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     rest = cut_lineage(across().drop("centre"))
     side = lambda x: rest.select(
         "token", F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("k").alias(f"k{x}"),
-        F.col("level").alias(f"level{x}"), F.col("component").alias(f"component{x}"),
+        F.col("own").alias(f"own{x}"), F.col("place").alias(f"place{x}"), F.col("component").alias(f"component{x}"),
     )
-    k = F.least("ka", "kb")
+    k, need = F.least("ka", "kb"), _needed(percent)
     pairs = (
         side("a").join(side("b"), "token")
-        .where((F.col("a") < F.col("b")) & (F.col("componenta") != F.col("componentb")) & _close_in_size(percent))
-        .where((F.col("levela") <= k) & (F.col("levelb") <= k))
+        .where((F.col("a") < F.col("b")) & (F.col("componenta") != F.col("componentb")) & _can_share(percent))
+        .where((F.col("placea") < F.col("na") - need + k) & (F.col("placeb") < F.col("nb") - need + k))
         .groupBy("a", "b", k.alias("k"))
         .agg(F.count("*").alias("shared"))
         .where("shared >= k")
