@@ -17,7 +17,8 @@ How it runs:
 3. Links are collected until they connect what they can, cheapest first: every document with one
    document of each prefix shingle, the one with the smallest share of shingles of its own (in a
    group of edited copies, the text they come from), then again with another one where a shingle
-   still joins several components. What is left is compared in full, but only across components, under the
+   still joins several components. Documents that could still be linked get their prefixes anew,
+   from the shingles that meet several components. What is left is compared in full, but only across components, under the
    multi-match rule. Components are thus exact while copies of one text are never all paired.
 
 Candidates are verified exactly, on the shingles that occur twice or more and the sets' sizes. A
@@ -176,14 +177,16 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 def prefix_length(df: np.ndarray, n: int, percent: int) -> tuple[int, int, int]:
     """For the ascending frequencies of a set's repeated shingles: the k of least estimated cost,
-    how many of them its prefix for k holds, and how many the prefix for 1 does."""
+    how many of them its prefix for k holds, and how many the prefix for 1 does. The cost is that
+    of partners of its own size, which share more than the least."""
     least = -(-n * percent // 100)
     unique = n - len(df)
     base = n - least + 1 - unique
     if base <= 0:
         return 1, 0, 0
     ks = np.arange(1, min(LONGEST, least) + 1)
-    entries = np.concatenate([[0], np.cumsum(df.astype(np.int64) - 1)])[base - 1 + ks]
+    alike = n + 2 * n * -percent // (100 + percent) - unique  # repeated shingles of that prefix less k
+    entries = np.concatenate([[0], np.cumsum(df.astype(np.int64) - 1)])[np.clip(alike + ks, 0, len(df))]
     k = int(ks[np.argmin(entries * (1.0 + VERIFY_COST / ks))])
     return k, base - 1 + k, base
 
@@ -220,6 +223,57 @@ def _prefixes(percent: int):
     return choose
 
 
+def _refined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Entries of documents that are still to be compared across components (``doc``,
+    ``component``), with prefixes chosen anew: only a shingle that meets several components can be
+    shared by a pair, all others of a set count as its own."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                low = np.frombuffer(batch["low"][i].as_py(), np.uint32)
+                high = np.frombuffer(batch["high"][i].as_py(), np.uint16).astype(np.int64)
+                same = lambda c: pa.array(np.full(len(low), batch[c][i].as_py()))
+                yield pa.RecordBatch.from_arrays(
+                    [same("set"), same("doc"), same("n"), same("component"), pa.array((high << 32) | low)],
+                    names=["set", "doc", "n", "component", "token"],
+                )
+
+    held = (
+        sets.join(members, "doc")
+        .select(F.xxhash64("doc", "n", "low").alias("set"), "doc", "n", "component", "low", "high")
+        .mapInArrow(each, "set bigint, doc bigint, n bigint, component bigint, token bigint")
+    )
+    held = cut_lineage(held)
+    several = (
+        held.groupBy("token")
+        .agg(F.count("*").alias("df"), F.min("component").alias("a"), F.max("component").alias("b"))
+        .where("a < b")
+    )
+    # One row per document, as long as its own set.
+    shared = (
+        held.join(several.select("token", "df"), "token")
+        .groupBy("set", "doc", "n", "component")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
+        .select("doc", "n", "component", "shared.df", "shared.token")
+    )
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                k, long, _ = prefix_length(np.array(r["df"], np.int64), r["n"], percent)
+                own = r["n"] - len(r["df"])
+                rows += [
+                    {"doc": r["doc"], "n": r["n"], "component": r["component"], "k": k, "own": own, "token": t, "place": own + i}
+                    for i, t in enumerate(r["token"][:long])
+                ]
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    schema = pa.schema([(c, pa.int64()) for c in ("doc", "n", "component", "k", "own", "token", "place")])
+    return cut_lineage(shared.mapInArrow(choose, ", ".join(f"{c} bigint" for c in schema.names)))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the distinct pairs (``a``, ``b``) that are similar enough."""
     left = sets.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("low").alias("la"), F.col("high").alias("ha"))
@@ -327,7 +381,7 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     )
     labels = cut_lineage(components(links))
 
-    rest = cut_lineage(across().drop("centre"))
+    rest = _refined(across().select("doc", "component").distinct(), sets, percent)
     side = lambda x: rest.select(
         "token", F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("k").alias(f"k{x}"),
         F.col("own").alias(f"own{x}"), F.col("place").alias(f"place{x}"), F.col("component").alias(f"component{x}"),
