@@ -46,7 +46,7 @@ from corpuslink.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 #: Cost of verifying a candidate in units of meeting one entry of an index.
 VERIFY_COST = 8.0
 LONGEST = 24

@@ -44,7 +44,7 @@ CAUTION = 3.0
 FIT_ROWS = 20_000
 MAX_TOKENS = 20_000
 SIGNIFICANT = 0.05
-_COUNT_EVERY = 4_000_000
+_COUNT_EVERY = 1_500_000
 
 
 @dataclass(frozen=True)
