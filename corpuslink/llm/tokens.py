@@ -23,8 +23,8 @@ from corpuslink.llm.wordhash import BLOCK_BYTES, blocks, mix
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 END_ID = 0
-#: Distinct pieces a worker remembers before it starts afresh (about 100 MB).
-REMEMBERED = 1_500_000
+#: Distinct pieces a worker remembers before it starts afresh (about 60 MB).
+REMEMBERED = 800_000
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
