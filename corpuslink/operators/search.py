@@ -166,11 +166,13 @@ def find_courses(
     columns = crit.output_columns()
     if len(terms) > 1 and match == "literal":
         keys = ["course_id"] + (["section_num"] if crit.by_section else [])
-        bare = [F.min(c).alias(c) for c in columns if c not in keys]
+        # of several rows of a group the smallest whole row stands for it
+        bare = F.min(F.struct(*[c for c in columns if c not in keys])).alias("_row")
         rows = (
             rows.groupBy(*keys)
-            .agg(F.sum("n_hits").alias("n_rows"), *bare)
+            .agg(F.sum("n_hits").alias("n_rows"), bare)
             .where(F.col("n_rows") == len(terms))
+            .select(*keys, "_row.*")
         )
     return rows.select(*columns)
 

@@ -10,13 +10,13 @@ from corpuslink.plans import views
 from corpuslink.plans.views import with_views
 
 ORIGIN = "B7"
-MORNING = {"time_start": 930, "time_end": 1500, "day": ["MWF"]}
+MORNING = {"time_start": 800, "time_end": 1250, "day": ["MWF"]}
 BOTH_TERMS = {
     "dept": "Brand#2",
-    "day": ["MWF", "TR"],
-    "time_start": 1030,
-    "time_end": 1500,
-    "enroll_lower": 20,
+    "day": ["MWF", "MW"],
+    "time_start": 900,
+    "time_end": 1700,
+    "enroll_lower": 12,
     "terms": "red widget",
 }
 NEARBY = {"building": ORIGIN, "walking_time": 20, "time_start": 900}
@@ -33,6 +33,13 @@ def _find(args: dict, match: str = "literal"):
     return run
 
 
+def course_search_paired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All terms over sections with two pattern rows: every result is one of their rows."""
+    tables = views.search_tables(spark, sf_dir)
+    tables["meeting_patterns"] = views.paired_patterns(spark, sf_dir)
+    return search.find_courses(tables, {"terms": "red widget", "time_start": 815})
+
+
 def building_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = search.distances_from(views.gps(spark, sf_dir), ORIGIN)
     return near.withColumn("walking_time", F.round("walking_time", 6))
@@ -57,6 +64,7 @@ def facet_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "course_search_time_day": _find(MORNING),
     "course_search_terms_all": _find(BOTH_TERMS),
+    "course_search_paired": course_search_paired,
     "course_search_terms_only": _find({"terms": "red widget"}),
     "course_search_terms_division": _find({"terms": "widget red red"}, "division"),
     "course_search_single_term": _find({"terms": "widget"}),
@@ -82,17 +90,28 @@ SQL = {
     "course_search_time_day": with_views(
         _BASIC,
         f"""SELECT c.dept, c.course_num, {_SECTION} FROM {_JOINED}
-            WHERE m.day = 'MWF' AND m.time_start >= 930 AND m.time_end <= 1500""",
+            WHERE m.day = 'MWF' AND m.time_start >= 800 AND m.time_end <= 1250""",
     ),
     "course_search_terms_all": with_views(
         (*_BASIC, "catalog_index"),
-        f"""SELECT min(c.dept) AS dept, min(c.course_num) AS course_num, s.section_num, min(m.day) AS day,
-                   min(m.time_start) AS time_start, min(m.time_end) AS time_end,
-                   min(s.enrollment) AS enrollment, min(c.title) AS title
-            FROM {_JOINED} JOIN catalog_index i ON c.course_id = i.course_id
-            WHERE (m.day = 'MWF' OR m.day = 'TR') AND m.time_start >= 1030 AND m.time_end <= 1500
-              AND s.enrollment >= 20 AND c.dept = 'Brand#2' AND (i.word = 'red' OR i.word = 'widget')
-            GROUP BY i.course_id, s.section_num HAVING count(*) = 2""",
+        f"""SELECT section_num, unnest(row) FROM (
+                SELECT i.course_id, s.section_num, min(struct_pack(dept := c.dept, course_num := c.course_num,
+                       day := m.day, time_start := m.time_start, time_end := m.time_end,
+                       enrollment := s.enrollment, title := c.title)) AS row
+                FROM {_JOINED} JOIN catalog_index i ON c.course_id = i.course_id
+                WHERE (m.day = 'MWF' OR m.day = 'MW') AND m.time_start >= 900 AND m.time_end <= 1700
+                  AND s.enrollment >= 12 AND c.dept = 'Brand#2' AND (i.word = 'red' OR i.word = 'widget')
+                GROUP BY i.course_id, s.section_num HAVING count(*) = 2)""",
+    ),
+    "course_search_paired": with_views(
+        (*_BASIC, "paired_patterns", "catalog_index"),
+        f"""SELECT section_num, unnest(row) FROM (
+                SELECT i.course_id, s.section_num, min(struct_pack(dept := c.dept, course_num := c.course_num,
+                       day := m.day, time_start := m.time_start, time_end := m.time_end, title := c.title)) AS row
+                FROM {_JOINED.replace("meeting_patterns", "paired_patterns")}
+                JOIN catalog_index i ON c.course_id = i.course_id
+                WHERE m.time_start >= 815 AND (i.word = 'red' OR i.word = 'widget')
+                GROUP BY i.course_id, s.section_num HAVING count(*) = 2)""",
     ),
     "course_search_terms_only": with_views(
         ("courses", "catalog_index"),

@@ -38,17 +38,13 @@ def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_partkey", "l_orderkey", "l_linenumber")
-        .agg(F.min("l_suppkey").alias("supp"), F.min("l_quantity").alias("qty"))
-        .select(
-            F.col("l_partkey").alias("course_id"),
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("section_num"),
-            F.col("l_orderkey").alias("meeting_pattern_id"),
-            F.concat(F.lit("B"), F.col("supp").cast("string")).alias("building_code"),
-            F.col("qty").cast("int").alias("enrollment"),
-        )
+    """One section per row, so that filters and columns reach the scan."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("course_id"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("section_num"),
+        F.col("l_orderkey").alias("meeting_pattern_id"),
+        F.concat(F.lit("B"), F.col("l_suppkey").cast("string")).alias("building_code"),
+        F.col("l_quantity").alias("enrollment"),
     )
 
 
@@ -70,6 +66,18 @@ def meeting_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def paired_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meeting patterns of which every odd one has a second row."""
+    once = meeting_patterns(spark, sf_dir)
+    again = once.where(F.col("meeting_pattern_id") % 2 == 1).select(
+        "meeting_pattern_id",
+        F.lit("TR").alias("day"),
+        (F.col("time_start") - 15).alias("time_start"),
+        (F.col("time_end") + 120).alias("time_end"),
+    )
+    return once.unionByName(again)
+
+
 def gps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("B"), F.col("s_suppkey").cast("string")).alias("building_code"),
@@ -131,17 +139,19 @@ def benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One record per document: its two longest distinct words as name, the next two as address,
-    its language as city. The whole text is read."""
+    """One record per document: its two longest distinct words as name, the next two as address
+    (null where there are none), and as city its language with the first letters of the name, so
+    that blocks stay small as the data grow and equal texts share one. The whole text is read."""
     docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
     distinct = F.array_distinct(F.transform(word_tokens(F.col("text")), F.lower))
     ranked = F.sort_array(F.transform(distinct, lambda w: F.struct((-F.char_length(w)).alias("n"), w.alias("w"))))
     longest = docs.select("doc_id", "lang", F.slice(ranked, 1, 4).alias("top"))
+    name = F.array_join(F.slice("top.w", 1, 2), " ")
     return longest.select(
         F.col("doc_id").alias("rid"),
-        F.array_join(F.slice("top.w", 1, 2), " ").alias("name"),
-        F.col("lang").alias("city"),
-        F.array_join(F.slice("top.w", 3, 2), " ").alias("address"),
+        F.nullif(name, F.lit("")).alias("name"),
+        F.concat(F.col("lang"), F.lit("-"), F.left(F.coalesce(name, F.lit("")), F.lit(4))).alias("city"),
+        F.nullif(F.array_join(F.slice("top.w", 3, 2), " "), F.lit("")).alias("address"),
     )
 
 
@@ -175,9 +185,8 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "sections": (
         (),
         """SELECT l_partkey AS course_id, l_orderkey * 10 + l_linenumber AS section_num,
-                  l_orderkey AS meeting_pattern_id, 'B' || CAST(min(l_suppkey) AS VARCHAR) AS building_code,
-                  CAST(min(l_quantity) AS INTEGER) AS enrollment
-           FROM lineitem GROUP BY l_partkey, l_orderkey, l_linenumber""",
+                  l_orderkey AS meeting_pattern_id, 'B' || CAST(l_suppkey AS VARCHAR) AS building_code,
+                  l_quantity AS enrollment FROM lineitem""",
     ),
     "meeting_patterns": (
         (),
@@ -189,6 +198,12 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
                        + CASE WHEN o_orderstatus = 'F' THEN 50 ELSE 90 END AS INTEGER) AS time_end
            FROM orders""",
     ),
+    "paired_patterns": (
+        ("meeting_patterns",),
+        """SELECT * FROM meeting_patterns UNION ALL
+           SELECT meeting_pattern_id, 'TR', time_start - 15, time_end + 120 FROM meeting_patterns
+           WHERE meeting_pattern_id % 2 = 1""",
+    ),
     "gps": (
         (),
         """SELECT 'B' || CAST(s_suppkey AS VARCHAR) AS building_code,
@@ -222,7 +237,8 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "records": (
         (),
-        f"""SELECT d.doc_id AS rid, coalesce(r.name, '') AS name, d.lang AS city, coalesce(r.address, '') AS address
+        f"""SELECT d.doc_id AS rid, nullif(r.name, '') AS name, nullif(r.address, '') AS address,
+                   d.lang || '-' || left(coalesce(r.name, ''), 4) AS city
             FROM documents d LEFT JOIN (
                 SELECT doc_id, string_agg(w, ' ' ORDER BY k) FILTER (k <= 2) AS name,
                        string_agg(w, ' ' ORDER BY k) FILTER (k BETWEEN 3 AND 4) AS address
