@@ -12,40 +12,41 @@ WORD_PATTERN = r"[a-zA-Z][a-zA-Z\p{Nd}]*"
 COURSE_CODE_PATTERN = r"([A-Z]{4})\x{A0}(\p{Nd}{5})"
 
 # Words the keyword index leaves out (compared before lowercasing).
-STOP_WORDS = (
-    "a also an and are as at be but by course for from how i ii iii in include is not of on or s "
-    "sequence so social students such that the their this through to topics units we were which "
-    "will with yet"
-).split()
-
-# Keys next to each key, in listing order, separated by blanks.
+STOP_WORDS = [
+    "a", "also", "an", "and", "are", "as", "at", "be", "but", "by", "course", "for", "from", "how", "i",
+    "ii", "iii", "in", "include", "is", "not", "of", "on", "or", "s", "sequence", "so", "social",
+    "students", "such", "that", "the", "their", "this", "through", "to", "topics", "units", "we", "were",
+    "which", "will", "with", "yet",
+]
+
+# Keys next to each key, in listing order.
 NEARBY_KEYS = {
-    "q": "w a",
-    "w": "q e s",
-    "e": "w r d",
-    "r": "e t f",
-    "t": "r y g",
-    "y": "t u h",
-    "u": "y i j",
-    "i": "u o k",
-    "o": "i p l",
-    "p": "o",
-    "a": "q s z",
-    "s": "w a d z x",
-    "d": "e s f x c",
-    "f": "r d g c v",
-    "g": "t f h v b",
-    "h": "y g j b n",
-    "j": "u h k n m",
-    "k": "i j l m",
-    "l": "o k",
-    "z": "s x",
-    "x": "z s d c",
-    "c": "x v f",
-    "v": "c b f g",
-    "b": "v n g h",
-    "n": "b m h j",
-    "m": "n j k",
+    "q": ["w", "a"],
+    "w": ["q", "e", "s"],
+    "e": ["w", "r", "d"],
+    "r": ["e", "t", "f"],
+    "t": ["r", "y", "g"],
+    "y": ["t", "u", "h"],
+    "u": ["y", "i", "j"],
+    "i": ["u", "o", "k"],
+    "o": ["i", "p", "l"],
+    "p": ["o"],
+    "a": ["q", "s", "z"],
+    "s": ["w", "a", "d", "z", "x"],
+    "d": ["e", "s", "f", "x", "c"],
+    "f": ["r", "d", "g", "c", "v"],
+    "g": ["t", "f", "h", "v", "b"],
+    "h": ["y", "g", "j", "b", "n"],
+    "j": ["u", "h", "k", "n", "m"],
+    "k": ["i", "j", "l", "m"],
+    "l": ["o", "k"],
+    "z": ["s", "x"],
+    "x": ["z", "s", "d", "c"],
+    "c": ["x", "v", "f"],
+    "v": ["c", "b", "f", "g"],
+    "b": ["v", "n", "g", "h"],
+    "n": ["b", "m", "h", "j"],
+    "m": ["n", "j", "k"],
 }
 
 
@@ -82,11 +83,10 @@ def course_code(title: Column) -> Column:
 
 def nearby_keys(key: Column) -> Column:
     """Array of keys next to ``key`` on the keyboard, empty for anything but a lower-case letter."""
-    pairs: list[Column] = []
-    for letter, neighbours in NEARBY_KEYS.items():
-        pairs += [F.lit(letter), F.lit(neighbours)]
-    table = F.create_map(*pairs)
-    return F.split(F.coalesce(F.try_element_at(table, key), F.lit("")), " ")
+    table = F.create_map(
+        *[c for letter, keys in NEARBY_KEYS.items() for c in (F.lit(letter), F.array(*map(F.lit, keys)))]
+    )
+    return F.coalesce(F.try_element_at(table, key), F.array().cast("array<string>"))
 
 
 def search_terms(terms: Column) -> Column:

@@ -7,7 +7,7 @@ one row per distinct prefix. All lookups are equi joins on the prefix or the wor
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslink.functions.text import nearby_keys, word_tokens
@@ -141,6 +141,23 @@ def ordered_completions(words: DataFrame, prefixes: DataFrame) -> DataFrame:
     )
 
 
+def _in_tree_order(prefix: Column, held: Column) -> Column:
+    """Words of one prefix in listing order: letter by letter, a word that ends there before longer
+    ones, then by the first line of the longer prefix, which the words held here tell."""
+    depth = F.char_length(prefix)
+
+    def steps(word: Column) -> Column:
+        def step(n: Column) -> Column:
+            same = F.filter(held, lambda x: F.left(x["word"], n) == F.left(word, n))
+            first = F.array_min(F.transform(same, lambda x: x["line_no"]))
+            return F.struct((n < F.char_length(word)).alias("inner"), first.alias("first"))
+
+        return F.transform(F.filter(F.sequence(depth, F.char_length(word)), lambda n: n > depth), step)
+
+    keyed = F.transform(held, lambda w: F.struct(steps(w["word"]).alias("steps"), w["word"].alias("word")))
+    return F.transform(F.array_sort(keyed), lambda k: k["word"])
+
+
 def decision_table(words: DataFrame, prefixes: DataFrame | None = None) -> DataFrame:
     """Decision for every prefix that has completions: ``(prefix, n, status, candidates,
     resolved_word)``.
@@ -154,17 +171,13 @@ def decision_table(words: DataFrame, prefixes: DataFrame | None = None) -> DataF
     if prefixes is not None:
         index = index.join(prefixes.select("prefix").distinct(), "prefix", "left_semi")
     short = index.where(F.col("n_words").between(1, MAX_LISTED)).select("prefix")
-    members = _with_prefixes(words.select("word")).join(short, "prefix").select("prefix", "word")
-    if "line_no" in words.columns:
-        members = cut_lineage(members)
-        members = members.join(tree_positions(words, members.select("word").distinct()), "word")
-    else:
-        members = members.withColumn("tree_pos", F.lit(0))
-    order = F.struct((F.col("word") != F.col("prefix")).alias("longer"), "tree_pos", "word")
+    lines = F.col("line_no") if "line_no" in words.columns else F.lit(0)
+    members = _with_prefixes(words.select("word", lines.alias("line_no"))).join(short, "prefix")
+    # At most ten words a prefix: all that share a longer prefix are in its group.
     lists = (
         members.groupBy("prefix")
-        .agg(F.sort_array(F.collect_list(order)).alias("found"))
-        .select("prefix", F.col("found.word").alias("candidates"))
+        .agg(F.collect_list(F.struct("word", "line_no")).alias("held"))
+        .select("prefix", _in_tree_order(F.col("prefix"), F.col("held")).alias("candidates"))
     )
     n = F.col("n_words")
     return index.join(lists, "prefix", "left").select(
@@ -223,7 +236,7 @@ def keyboard_variants(typed: DataFrame) -> DataFrame:
         F.transform(
             at,
             lambda i: F.transform(
-                F.filter(nearby_keys(F.substring(F.col("word"), i, F.lit(1))), lambda c: c != ""),
+                nearby_keys(F.substring(F.col("word"), i, F.lit(1))),
                 lambda c: F.concat(
                     F.left(F.col("word"), i - 1),
                     c,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslink.functions.html_blocks import BlockShape
 from corpuslink.functions.text import STOP_WORDS
+from corpuslink.functions.urls import is_ok_to_follow
 from corpuslink.operators import crawl, keywords, links
 from corpuslink.plans import views
 
@@ -15,6 +16,7 @@ SITE = "http://site.example.com/"
 ARTICLE = BlockShape(tag="article", title=("h1", None), desc=None)
 MENU_ITEM = BlockShape(tag="li", title=("a", None), desc=None)
 NO_LIMIT = 10**12
+BUDGET = 100
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +56,20 @@ def site_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = crawl.crawl_links(site_links(spark, sf_dir), f"{SITE}0.html", NO_LIMIT)
-    return found.select("url", "level")
+    return found.select("url", "visit_no", "level")
+
+
+def link_crawl_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same crawl with the budget of pages as the limit."""
+    found = crawl.crawl_links(site_links(spark, sf_dir), f"{SITE}0.html", BUDGET)
+    return found.select("url", "visit_no", "level")
+
+
+def page_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over the pages' own links, from the first page of the domain."""
+    pages = views.table(spark, sf_dir, "pages")
+    first = pages.where(is_ok_to_follow(F.col("url"), DOMAIN)).agg(F.min("url")).first()[0]
+    return crawl.crawl_pages(_pages(spark, sf_dir), first or "", DOMAIN, NO_LIMIT).select("url", "level")
 
 
 def _coded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +119,8 @@ QUERIES = {
     "links_resolved": links_resolved,
     "links_followable": links_followable,
     "link_crawl": link_crawl,
+    "link_crawl_budget": link_crawl_budget,
+    "page_crawl": page_crawl,
     "course_codes": course_codes,
     "block_words": block_words,
     "keyword_index": keyword_index,
@@ -136,6 +153,17 @@ def _text(html: str) -> str:
     return plain
 
 
+
+def _follow(url: str) -> str:
+    return f"""(regexp_extract({url}, '//([^/?#]*)', 1) = '{DOMAIN}'
+               OR ends_with(regexp_extract({url}, '//([^/?#]*)', 1), '.{DOMAIN}'))
+          AND NOT contains({url}, '@') AND NOT contains({url}, 'mailto:')
+          AND NOT regexp_matches({url}, '[?][^#]') AND NOT regexp_matches({url}, '#.')
+          AND (NOT regexp_matches(regexp_extract(regexp_extract({url}, '//[^/?#]*([^?#]*)', 1), '[^/]*$'), '[^.].*[.]')
+               AND NOT regexp_matches(regexp_extract(regexp_extract({url}, '//[^/?#]*([^?#]*)', 1), '[^/]*$'), '[^.][.]$')
+               OR regexp_matches(regexp_extract({url}, '//[^/?#]*([^?#]*)', 1), '[^./][.]html$'))"""
+
+
 _ARTICLES = f"""articles AS MATERIALIZED (
     SELECT page_id, {_text("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")} AS title,
            {_text("regexp_extract(html, '<article>(.*)</article>', 1, 's')")} AS body FROM pages),
@@ -151,25 +179,34 @@ index_rows AS MATERIALIZED (
     SELECT m.course_id, w.word FROM article_words w JOIN coded c ON w.page_id = c.page_id
     JOIN code_map m ON c.code = m.code)"""
 
+# A page's two targets keep the order of the page numbers, so visits go by level and number. No
+# shortest way is longer than the pages are many.
+_SITE_CRAWL = f"""n AS (SELECT count(*) AS n FROM pages),
+edges AS (SELECT page_id AS src, (page_id * 2 + 1) % n AS dst FROM pages, n
+          UNION SELECT page_id, (page_id * 2 + 2) % n FROM pages, n),
+reached(page, level) AS (
+    SELECT CAST(0 AS BIGINT), 0 UNION
+    SELECT e.dst, r.level + 1 FROM reached r JOIN edges e ON e.src = r.page, n WHERE e.dst > r.page AND r.level < n),
+visited AS (SELECT '{SITE}' || page || '.html' AS url, row_number() OVER (ORDER BY min(level), page) - 1 AS visit_no,
+                   min(level) AS level FROM reached GROUP BY page)"""
+
 SQL = {
     "page_links": f"WITH {_LINKS} SELECT page_id, pos, href FROM links",
     "links_resolved": f"WITH {_LINKS} SELECT page_id, pos, target FROM resolved",
     "links_followable": f"""WITH {_LINKS}
         SELECT page_id, pos, target FROM resolved
-        WHERE (regexp_extract(target, '//([^/?#]*)', 1) = '{DOMAIN}'
-               OR ends_with(regexp_extract(target, '//([^/?#]*)', 1), '.{DOMAIN}'))
-          AND NOT contains(target, '@') AND NOT contains(target, 'mailto:')
-          AND NOT regexp_matches(target, '[?][^#]') AND NOT regexp_matches(target, '#.')
-          AND (NOT regexp_matches(regexp_extract(regexp_extract(target, '//[^/?#]*([^?#]*)', 1), '[^/]*$'), '[^.].*[.]')
-               AND NOT regexp_matches(regexp_extract(regexp_extract(target, '//[^/?#]*([^?#]*)', 1), '[^/]*$'), '[^.][.]$')
-               OR regexp_matches(regexp_extract(target, '//[^/?#]*([^?#]*)', 1), '[^./][.]html$'))""",
-    "link_crawl": f"""WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages),
-        edges AS (SELECT page_id AS src, (page_id * 2 + 1) % n AS dst FROM pages, n
-                  UNION SELECT page_id, (page_id * 2 + 2) % n FROM pages, n),
-        reached(page, level) AS (
-            SELECT CAST(0 AS BIGINT), 0 UNION
-            SELECT e.dst, r.level + 1 FROM reached r JOIN edges e ON e.src = r.page WHERE r.level < 40)
-        SELECT '{SITE}' || page || '.html' AS url, min(level) AS level FROM reached GROUP BY page""",
+        WHERE {_follow("target")}""",
+    "link_crawl": f"WITH RECURSIVE {_SITE_CRAWL} SELECT * FROM visited",
+    "link_crawl_budget": f"WITH RECURSIVE {_SITE_CRAWL} SELECT * FROM visited WHERE visit_no < {BUDGET}",
+    "page_crawl": f"""WITH RECURSIVE {_LINKS},
+        edges AS MATERIALIZED (
+            SELECT DISTINCT p.url AS src, r.target AS dst FROM resolved r JOIN pages p ON r.page_id = p.page_id
+            WHERE {_follow("r.target")}),
+        n_pages AS (SELECT count(*) AS n FROM pages),
+        reached(url, level) AS (
+            SELECT (SELECT min(url) FROM pages WHERE {_follow("url")}), 0 UNION
+            SELECT e.dst, r.level + 1 FROM reached r JOIN edges e ON e.src = r.url, n_pages WHERE r.level <= n)
+        SELECT url, min(level) AS level FROM reached GROUP BY url""",
     "course_codes": f"WITH {_CODED} SELECT page_id, code FROM coded",
     "block_words": f"WITH {_ARTICLES} SELECT page_id, word FROM article_words",
     "keyword_index": f"WITH {_INDEX} SELECT course_id, word FROM index_rows",

@@ -14,7 +14,7 @@ from corpuslink.streaming import prefix_stream
 
 
 def dictionary_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first_doc = F.shiftright("line_no", views.PLACE_BITS)
+    first_doc = F.expr(f"line_no div {views.WORDS_PER_DOCUMENT}")
     return views.words(spark, sf_dir).select("word", first_doc.alias("first_doc"))
 
 
@@ -57,11 +57,7 @@ def keyboard_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prefix_stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every keystroke of the benchmark texts as a stream, looked up in the stored decisions."""
-    texts = (
-        spark.readStream.schema("item_id bigint, text string")
-        .option("pathGlobFilter", "benchmark.parquet")
-        .parquet(sf_dir)
-    )
+    texts = prefix_stream.stream_table(spark, f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     typed = texts.select("item_id", F.explode(word_tokens(F.col("text"))).alias("word")).select(
         "item_id",
         F.explode(
@@ -104,7 +100,7 @@ ranked AS MATERIALIZED (
     FROM keystrokes k JOIN word_prefixes p ON k.prefix = p.prefix JOIN steps s ON p.word = s.word)"""
 
 _KEYS = ", ".join(
-    f"('{key}', '{neighbour}')" for key, row in NEARBY_KEYS.items() for neighbour in row.split()
+    f"('{key}', '{neighbour}')" for key, row in NEARBY_KEYS.items() for neighbour in row
 )
 
 SQL = {

@@ -101,17 +101,18 @@ def search_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 # ---------------------------------------------------------------- dictionary
 
-PLACE_BITS = 26  # room for 67 million words per document
+WORDS_PER_DOCUMENT = 1 << 40
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary of the documents: distinct word tokens, ordered by first appearance (document,
-    then place in it, in one number: a minimum over a struct would need sorted aggregation)."""
+    then place in it). Both make one decimal of 38 digits, which holds any document id and combines
+    in a hash aggregation; a minimum over a struct would need a sorted one."""
     tokens = texts(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id", F.posexplode(word_tokens(F.col("text"))).alias("pos", "token")
     )
-    place = F.shiftleft(F.col("doc_id"), PLACE_BITS) + F.col("pos")
-    return distinct_words(tokens, "token", place)
+    document = F.col("doc_id").cast("decimal(20,0)") * F.lit(WORDS_PER_DOCUMENT).cast("decimal(17,0)")
+    return distinct_words(tokens, "token", (document + F.col("pos")).cast("decimal(38,0)"))
 
 
 def stored_words(spark: SparkSession, sf_dir: str) -> DataFrame:

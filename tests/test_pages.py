@@ -14,8 +14,8 @@ from corpuslink.sources.pages import read_code_map, read_pages, usable_pages
 from tests.conftest import rows
 
 URLS = [
-    ("http://cs.x.edu", "pa/pa1.html", "http://cs.x.edu/pa/pa1.html", "cs.x.edu", True),
-    ("http://cs.x.edu", "foo.edu/pa.html", "http://foo.edu/pa.html", "cs.x.edu", False),
+    ("http://lib.z.org", "shelf/7.html", "http://lib.z.org/shelf/7.html", "lib.z.org", True),
+    ("http://lib.z.org", "maps.net/world.html", "http://maps.net/world.html", "lib.z.org", False),
     ("http://h.org/a/b/c.html", "../x", "http://h.org/a/x", "h.org", True),
     ("http://h.org/a/b.html", "#top", "http://h.org/a/b.html", "h.org", True),
     ("http://h.org/a/b.html", "/z?q=1", "http://h.org/z?q=1", "h.org", False),
@@ -84,6 +84,51 @@ def test_link_extraction_matches_html_parser(spark):
     assert got == reader.found == ["a", "b.html", "c&d", ""]
 
 
+def test_link_extraction_of_generated_pages(spark):
+    rng = random.Random(17)
+    values = ["x", "a/b.html", "c&amp;d", "&#x2F;e", "&#38;f", "&eacute;g", "&nosuch;", "&#0;", "h&i", "", "k l", "href=q"]
+
+    def attribute():
+        name = rng.choice(["href", "HREF", "title", "data-href", "rel", "hrefs", "class"])
+        quote = rng.choice(['"', "'", ""])
+        value = rng.choice(values + [" href=zz ", "' href='n" if quote == '"' else '" href="n'])
+        value = value if quote else (value.replace(" ", "") .replace("'", "").replace('"', "") or "u")
+        return name if rng.random() < 0.1 and name != "href" else f"{name}{rng.choice(['=', ' = '])}{quote}{value}{quote}"
+
+    def piece():
+        return rng.choice(
+            [lambda: "<a " + " ".join(attribute() for _ in range(rng.randint(0, 3))) + rng.choice([">", " >", " />"]),
+             lambda: "<!-- <a href=hidden> -->", lambda: "<p title='<a href=\"no\">'>", lambda: "</a> text ",
+             lambda: "<script>'<a href=s>'</script>", lambda: "<abbr href=z>", lambda: "<a\nhref=nl>"]
+        )()
+
+    class First(Anchors):  # the first of several targets counts
+        def handle_starttag(self, tag, attrs):
+            targets = [v for k, v in attrs if k == "href" and v is not None]
+            if tag == "a" and targets:
+                self.found.append(targets[0])
+
+        handle_startendtag = handle_starttag
+
+    made = []
+    for i in range(300):
+        html = "".join(piece() for _ in range(rng.randint(1, 6)))
+        reader = First()
+        reader.feed(html)
+        reader.close()
+        made.append((i, "http://h.org/", html, reader.found))
+    pages = spark.createDataFrame([m[:3] for m in made], "page_id bigint, url string, html string")
+    got = {r.page_id: r.hrefs for r in pages.select("page_id", L.hrefs(F.col("html")).alias("hrefs")).collect()}
+    wrong = [(html, got[i], want) for i, _, html, want in made if got[i] != want]
+    assert wrong == []
+
+
+def test_links_in_open_comments_and_other_values(spark):
+    pages = [("<a title=' href=x' href=\"y\">", ["y"]), ("<a href=a><!-- <a href=b> ", ["a"]), ("<a href=a><script> <a href=b>", ["a"])]
+    df = spark.createDataFrame(pages, "html string, want array<string>")
+    assert [r.got for r in df.select(L.hrefs(F.col("html")).alias("got")).collect()] == [w for _, w in pages]
+
+
 def fifo(edges, start, budget):
     queue, seen, out = [start], {start}, []
     while queue and len(out) < budget:

@@ -1,8 +1,11 @@
 import json
 import random
 
+import pytest
+
 from corpuslink.operators import prefix as P
 from corpuslink.sources.wordlist import read_word_list
+from corpuslink.streaming import prefix_stream
 from corpuslink.streaming.prefix_stream import decide_stream, read_typed_prefixes
 from tests.conftest import rows
 
@@ -98,3 +101,20 @@ def test_stream(spark, tmp_path):
     query.awaitTermination(60)
     got = [(r.prefix, r.n, r.status) for r in spark.table("decided").collect()]
     assert sorted(got) == [("an", 3, "list"), ("an", 3, "list"), ("b", 0, "misspelled")]
+
+
+def test_stream_over_a_file_and_over_a_folder(spark, tmp_path):
+    table = spark.createDataFrame([(i, f"word{i}") for i in range(40)], "item_id bigint, text string")
+    table.repartition(4).write.parquet(str(tmp_path / "folder" / "t.parquet"))
+    (tmp_path / "file").mkdir()
+    table.coalesce(1).write.parquet(str(tmp_path / "one"))
+    (part,) = (tmp_path / "one").glob("part-*.parquet")
+    part.rename(tmp_path / "file" / "t.parquet")
+    want = sorted(map(tuple, table.collect()))
+    for layout in ("file", "folder"):
+        stream = prefix_stream.stream_table(spark, str(tmp_path / layout / "t.parquet"))
+        again = str(tmp_path / "runs" / layout)
+        for _ in range(2):  # the second run has nothing left to do
+            assert sorted(map(tuple, prefix_stream.run_available(stream, again).collect())) == want
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        prefix_stream.stream_table(spark, str(tmp_path / "none.parquet"))

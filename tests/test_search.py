@@ -96,3 +96,12 @@ def test_index_and_tables_round_trip(spark, tables, tmp_path):
     for name, table in tables.items():
         table.write.parquet(f"{tmp_path}/{name}.parquet")
     assert rows(read_course_tables(spark, str(tmp_path))["gps"]) == rows(tables["gps"])
+
+
+def test_all_terms_return_rows_that_exist(spark, tables):
+    twice = spark.createDataFrame(
+        [(1, "TR", 900, 1500), (1, "MWF", 1100, 1200)], COURSE_SCHEMAS["meeting_patterns"]
+    )
+    index = spark.createDataFrame([(1, "red")], COURSE_SCHEMAS["catalog_index"])
+    found = find_courses({**tables, "meeting_patterns": twice, "catalog_index": index}, {"terms": "red widget", "time_start": 800})
+    assert rows(found.select("day", "time_start", "time_end")) == [("MWF", 1100, 1200)]
