@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslink.functions.html_blocks import BlockShape
@@ -114,6 +114,65 @@ def sequence_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "block_no", F.explode("words").alias("word"))
 
 
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog pages made of the articles: a header block and a sub-course block, next to each
+    other on even pages and with text between them on odd ones. Titles carry a code where the
+    address of the page has a number."""
+    pages = _pages(spark, sf_dir)
+    area = F.upper(F.regexp_extract("url", r"/([a-z]{2})/(\d+)", 1))
+    number = F.regexp_extract("url", r"/([a-z]{2})/(\d+)", 2)
+    heading = F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1)
+    plain = F.regexp_extract_all("html", F.lit("<p>([^<]*)</p>"), F.lit(1))
+
+    def block(kind: str, first_digit: str, place: int) -> Column:
+        code = F.when(
+            number != "", F.concat(area, F.lit(f"PG\xa0{first_digit}"), F.lpad(F.right(number, F.lit(4)), 4, "0"), F.lit(". "))
+        ).otherwise("")
+        return F.concat(
+            F.lit(f'<div class="{kind}"><p class="courseblocktitle"><b>'), code, heading,
+            F.lit('</b></p><p class="courseblockdesc">'), F.coalesce(F.get(plain, F.lit(place)), F.lit("")), F.lit("</p></div>"),
+        )
+
+    html = F.concat(
+        block(keywords.MAIN_CLASS, "1", 0),
+        F.when(F.col("page_id") % 2 == 1, "\n").otherwise(""),
+        block(keywords.SUB_CLASS, "2", 1),
+    )
+    return pages.select("page_id", html.alias("html"))
+
+
+def _catalog_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the codes of two thirds of the pages, the smallest one where several pages share a code."""
+    pages = views.table(spark, sf_dir, "pages").where(F.col("page_id") % 3 != 0)
+    area = F.upper(F.regexp_extract("url", r"/([a-z]{2})/(\d+)", 1))
+    number = F.lpad(F.right(F.regexp_extract("url", r"/([a-z]{2})/(\d+)", 2), F.lit(4)), 4, "0")
+    both = F.array(*[F.concat(area, F.lit(f"PG {digit}"), number) for digit in "12"])
+    return (
+        pages.where(area != "")
+        .select(F.posexplode(both).alias("pos", "code"), "page_id")
+        .groupBy("code")
+        .agg(F.min(F.col("page_id") * 2 + F.col("pos")).alias("course_id"))
+    )
+
+
+def _catalog_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = keywords.page_blocks(_catalog(spark, sf_dir), BlockShape(), marker="courseblock")
+    return keywords.with_codes(keywords.sequence_words(blocks))
+
+
+def catalog_index_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keywords.build_index(_catalog(spark, sf_dir), _catalog_map(spark, sf_dir))
+
+
+def title_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _catalog_blocks(spark, sf_dir).select("page_id", "block_no", "code")
+
+
+def unmatched_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unknown = keywords.unknown_codes(_catalog_blocks(spark, sf_dir), _catalog_map(spark, sf_dir))
+    return unknown.select("page_id", "block_no", "code")
+
+
 QUERIES = {
     "page_links": page_links,
     "links_resolved": links_resolved,
@@ -126,6 +185,9 @@ QUERIES = {
     "keyword_index": keyword_index,
     "keyword_postings": keyword_postings,
     "sequence_words": sequence_words,
+    "catalog_index_built": catalog_index_built,
+    "title_codes": title_codes,
+    "unmatched_codes": unmatched_codes,
 }
 
 _STOP = ", ".join(f"'{word}'" for word in STOP_WORDS)
@@ -179,6 +241,23 @@ index_rows AS MATERIALIZED (
     SELECT m.course_id, w.word FROM article_words w JOIN coded c ON w.page_id = c.page_id
     JOIN code_map m ON c.code = m.code)"""
 
+_AREA = "upper(regexp_extract(url, '/([a-z]{2})/(\\d+)', 1))"
+_NUMBER = "lpad(right(regexp_extract(url, '/([a-z]{2})/(\\d+)', 2), 4), 4, '0')"
+_CATALOG = f"""cat AS MATERIALIZED (
+    SELECT page_id, {_AREA} AS area, {_NUMBER} AS number,
+           {_text("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")} AS heading,
+           regexp_extract_all(html, '<p>([^<]*)</p>', 1) AS plain FROM pages),
+listed AS MATERIALIZED (
+    SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 1 ELSE 0 END AS block_no,
+           CASE WHEN area <> '' THEN area || 'PG ' || CASE WHEN page_id % 2 = 0 THEN '2' ELSE '1' END || number END AS code,
+           heading || ' ' || CASE WHEN area <> '' THEN area || 'PG ' ELSE '' END || {_text("coalesce(plain[1], '')")}
+               || CASE WHEN page_id % 2 = 0 THEN ' ' || {_text("coalesce(plain[2], '')")} ELSE '' END AS said FROM cat),
+catalog_map AS MATERIALIZED (
+    SELECT code, min(id) AS course_id FROM (
+        SELECT area || 'PG 1' || number AS code, page_id * 2 AS id FROM cat WHERE page_id % 3 <> 0 AND area <> ''
+        UNION ALL
+        SELECT area || 'PG 2' || number, page_id * 2 + 1 FROM cat WHERE page_id % 3 <> 0 AND area <> '') GROUP BY code)"""
+
 # A page's two targets keep the order of the page numbers, so visits go by level and number. No
 # shortest way is longer than the pages are many.
 _SITE_CRAWL = f"""n AS (SELECT count(*) AS n FROM pages),
@@ -207,6 +286,14 @@ SQL = {
             SELECT (SELECT min(url) FROM pages WHERE {_follow("url")}), 0 UNION
             SELECT e.dst, r.level + 1 FROM reached r JOIN edges e ON e.src = r.url, n_pages WHERE r.level <= n)
         SELECT url, min(level) AS level FROM reached GROUP BY url""",
+    "catalog_index_built": f"""WITH {_CATALOG},
+        said AS (SELECT page_id, code, unnest(regexp_extract_all(said, '{_WORD}')) AS token FROM listed)
+        SELECT m.course_id, w.word FROM catalog_map m JOIN (
+            SELECT DISTINCT page_id, code, lower(token) AS word FROM said WHERE token NOT IN ({_STOP})) w
+        ON m.code = w.code""",
+    "title_codes": f"WITH {_CATALOG} SELECT page_id, block_no, code FROM listed",
+    "unmatched_codes": f"""WITH {_CATALOG} SELECT page_id, block_no, code FROM listed
+        WHERE code IS NULL OR code NOT IN (SELECT code FROM catalog_map)""",
     "course_codes": f"WITH {_CODED} SELECT page_id, code FROM coded",
     "block_words": f"WITH {_ARTICLES} SELECT page_id, word FROM article_words",
     "keyword_index": f"WITH {_INDEX} SELECT course_id, word FROM index_rows",
