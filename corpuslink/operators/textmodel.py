@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslink.functions.grams import circular_grams, context_of, smoothed_log
+from corpuslink.functions.grams import circular_pieces, context_of, piece_grams, smoothed_log
 from corpuslink.session import cut_lineage
 
 
@@ -25,13 +25,42 @@ def _check_order(k: int) -> None:
 def gram_counts(texts: DataFrame, k: int, keys: Sequence[str] = ("label",)) -> DataFrame:
     """``(*keys, gram, n)``: occurrences of each gram per key."""
     _check_order(k)
+    return _counted(texts.select(*keys, F.explode(circular_pieces(F.col("text"), k)).alias("piece")), k, keys)
+
+
+def _counted(pieces: DataFrame, k: int, keys: Sequence[str]) -> DataFrame:
     return (
-        texts.select(*keys, F.explode(circular_grams(F.col("text"), k)).alias("gram"))
+        pieces.select(*keys, F.explode(piece_grams(F.col("piece"), k)).alias("gram"))
         .groupBy(*keys, "gram")
         .agg(F.count("*").alias("n"))
     )
 
 
+def gram_counts_of_parts(
+    parts: DataFrame, k: int, keys: Sequence[str] = ("label",), text_id: str = "text_id", order: str = "part_no"
+) -> DataFrame:
+    """:func:`gram_counts` of texts held in several rows (``text_id``, ``order``, ``text``).
+
+    The k characters before a part come from the part before it, those before the first one from
+    the last. Every part but the last of a text must have at least k characters. The windows order
+    the parts of one text and move k characters of each.
+    """
+    _check_order(k)
+    one = Window.partitionBy(*keys, text_id)
+    run = one.orderBy(order)
+    end = F.right(F.concat(F.coalesce(F.lag(F.right("text", F.lit(k))).over(run), F.lit("")), F.col("text")), F.lit(k))
+    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    led = (
+        parts.where(F.char_length("text") > 0)
+        .withColumn("_end", end)
+        .withColumn("_before", F.coalesce(F.lag("_end").over(run), F.last("_end").over(whole)))
+        .withColumn("_total", F.sum(F.char_length("text")).over(one))
+        .where(F.col("_total") >= k)
+    )
+    pieces = circular_pieces(F.col("text"), k, before=F.col("_before"))
+    return _counted(led.select(*keys, F.explode(pieces).alias("piece")), k, keys)
+
+
 def context_counts(grams: DataFrame, k: int, keys: Sequence[str] = ("label",)) -> DataFrame:
     """``(*keys, context, n)`` from gram counts: each position adds one to its gram and context."""
     return (
@@ -83,23 +112,25 @@ def train(texts: DataFrame, k: int, labels: Sequence[str], materialize: bool = T
 
 
 def _per_label(counts: DataFrame, key: str, labels: Sequence[str]) -> DataFrame:
-    """One row per key with the counts of all labels side by side in an array."""
-    columns = [F.coalesce(F.sum(F.when(F.col("label") == name, F.col("n"))), F.lit(0)) for name in labels]
-    return counts.groupBy(key).agg(F.array(*columns).alias("counts"))
+    """One row per key with a map from the label's position to its count."""
+    place = F.array_position(F.array(*map(F.lit, labels)), F.col("label")) - 1
+    entries = F.collect_list(F.struct(place.cast("int").alias("label_pos"), "n"))
+    return counts.groupBy(key).agg(F.map_from_entries(entries).alias("counts"))
 
 
 def gram_terms(model: TextModel, asked: DataFrame) -> DataFrame:
     """``(gram, terms)``: for each asked gram ``(gram, n)`` its log term under every label.
 
     The terms are worked out once per distinct gram, not once per text. Summing ``n`` keeps the
-    shuffle of the counted grams identical to the one the caller joins, so Spark reuses it.
+    shuffle of the counted grams identical to the one the caller joins, so Spark reuses it. The
+    number of expressions does not depend on the number of labels.
     """
     grams = asked.groupBy("gram").agg(F.sum("n").alias("n_asked")).where(F.col("n_asked") > 0)
     grams = grams.select("gram", context_of(F.col("gram"), model.k).alias("context"))
-    sizes = model.alphabet.agg(
-        *[F.max(F.when(F.col("label") == name, F.col("n_chars"))).alias(f"s{i}") for i, name in enumerate(model.labels)]
+    by_label = F.map_from_entries(F.collect_list(F.struct("label", "n_chars")))
+    sizes = model.alphabet.agg(by_label.alias("by_label")).select(
+        F.transform(F.array(*map(F.lit, model.labels)), lambda name: F.try_element_at("by_label", name)).alias("sizes")
     )
-    sizes = sizes.select(F.array(*[F.col(f"s{i}") for i in range(len(model.labels))]).alias("sizes"))
     known = grams.join(
         _per_label(model.grams, "gram", model.labels).withColumnRenamed("counts", "seq"), "gram", "left"
     ).join(
@@ -107,16 +138,11 @@ def gram_terms(model: TextModel, asked: DataFrame) -> DataFrame:
         "context",
         "left",
     )
-    known = known.withColumn("sizes", sizes.scalar())
-    terms = [
-        smoothed_log(
-            F.coalesce(F.get("seq", F.lit(i)), F.lit(0)),
-            F.coalesce(F.get("ctx", F.lit(i)), F.lit(0)),
-            F.get("sizes", F.lit(i)),
-        )
-        for i in range(len(model.labels))
-    ]
-    return known.select("gram", F.array(*terms).alias("terms"))
+    count = lambda counts, i: F.coalesce(F.try_element_at(counts, i), F.lit(0))
+    terms = F.transform(
+        F.col("sizes"), lambda size, i: smoothed_log(count(F.col("seq"), i), count(F.col("ctx"), i), size)
+    )
+    return known.withColumn("sizes", sizes.scalar()).select("gram", terms.alias("terms"))
 
 
 def _label_rows(model: TextModel, texts: DataFrame, key: str) -> DataFrame:

@@ -30,6 +30,15 @@ def char_gram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textmodel.gram_counts(_by_role(spark, sf_dir), ORDER)
 
 
+def char_gram_counts_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grams of each conversation role with every text held in rows of 50 characters."""
+    turns = views.table(spark, sf_dir, "conversations")
+    cut = F.posexplode(F.regexp_extract_all("text", F.lit("(?s).{1,50}"), F.lit(0))).alias("part_no", "part")
+    turn_id = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    parts = turns.select(F.col("role").alias("label"), turn_id.alias("text_id"), cut)
+    return textmodel.gram_counts_of_parts(parts.withColumnRenamed("part", "text"), ORDER)
+
+
 def char_context_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textmodel.context_counts(char_gram_counts(spark, sf_dir), ORDER)
 
@@ -59,6 +68,7 @@ def role_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "char_gram_counts": char_gram_counts,
+    "char_gram_counts_of_parts": char_gram_counts_of_parts,
     "char_context_counts": char_context_counts,
     "alphabet_size": alphabet_size,
     "language_scores": language_scores,
@@ -97,7 +107,7 @@ def _scores(labels: tuple[str, ...]) -> str:
         GROUP BY ALL)"""
 
 
-_BEST = """SELECT doc_id, arg_max(label, round(score, 12) * 1000 + label_pos * 1e-9) AS best_label,
+_BEST = """SELECT doc_id, first(label ORDER BY round(score, 12) DESC, label_pos DESC) AS best_label,
                   round(max(score), 6) AS best_score FROM scored GROUP BY doc_id"""
 
 
@@ -115,6 +125,7 @@ _DOC_TEXTS = ("doc_id", "documents")
 
 SQL = {
     "char_gram_counts": _sql(_ROLE_MODEL, None, (), "SELECT key AS label, gram, n FROM model"),
+    "char_gram_counts_of_parts": _sql(_ROLE_MODEL, None, (), "SELECT key AS label, gram, n FROM model"),
     "char_context_counts": _sql(_ROLE_MODEL, None, (), "SELECT key AS label, context, n FROM model_ctx"),
     "alphabet_size": _sql(_ROLE_MODEL, None, (), "SELECT key AS label, n_chars FROM model_abc"),
     "language_scores": _sql(

@@ -1,8 +1,11 @@
 import math
+import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from corpuslink.functions import grams as G
 from corpuslink.operators import textmodel as M
 from corpuslink.sources.textfiles import read_text_samples
 from tests.conftest import rows
@@ -65,3 +68,25 @@ def test_text_files(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(b"one\r\ntwo\rthree\n")
     samples = read_text_samples(spark, {"A": str(tmp_path / "a.txt")})
     assert rows(samples) == [("A", "one\ntwo\nthree\n")]
+
+
+def test_grams_do_not_depend_on_pieces_or_parts(spark, monkeypatch):
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcé😀\n ") for _ in range(n)) for n in (0, 1, 2, 3, 4, 9, 40, 333)]
+    table = spark.createDataFrame([("x", i, t) for i, t in enumerate(texts)], "label string, text_id int, text string")
+    for k in (1, 2, 3):
+        want = {}
+        for t in texts:
+            if len(t) >= k and t:
+                ring = t[-k:] + t
+                for i in range(len(t)):
+                    want[ring[i : i + k + 1]] = want.get(ring[i : i + k + 1], 0) + 1
+        for piece in (k, 5, 100):
+            cut = table.select("label", F.explode(G.circular_pieces(F.col("text"), k, piece)).alias("piece"))
+            assert {r.gram: r.n for r in M._counted(cut, k, ("label",)).collect()} == want
+        parts = [
+            ("x", i, n, t[at : at + 7]) for i, t in enumerate(texts) for n, at in enumerate(range(0, len(t), 7))
+        ]
+        table_of_parts = spark.createDataFrame(parts, "label string, text_id int, part_no int, text string")
+        assert {r.gram: r.n for r in M.gram_counts_of_parts(table_of_parts, k).collect()} == want
