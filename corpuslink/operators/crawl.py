@@ -8,11 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.operators.links import followable_links, link_table, page_links, resolved_links
-from corpuslink.operators.numbering import numbered
 from corpuslink.session import cut_lineage
 
 DEFAULT_BUDGET = 1000
-_PARENTS_PER_BUCKET = 4096
 _COMPACT_EVERY = 20
 
 
@@ -27,8 +25,8 @@ def crawl_links(
     ``links`` is ``(src, pos, dst)``; ``redirects`` may give ``(url, final_url)`` so that a page
     reached under another address is not queued again. One Spark job handles one level: new
     targets keep their first place (by parent, then link position) by a combining aggregation,
-    known ones drop out by an anti join, and numbering is spread over buckets of parents. Each
-    level is cut from its lineage through the checkpoint folder.
+    known ones drop out by an anti join. A level is written once, range-partitioned by place, and
+    numbered by its partitions' counts, so a page with any number of links spreads over tasks.
     """
     if budget < 1:
         raise ValueError("the budget must be at least 1")
@@ -57,20 +55,24 @@ def crawl_links(
             .agg(F.min(F.struct("visit_no", "pos")).alias("first"))
             .join(known, "url", "left_anti")
         )
-        ordered = numbered(
-            found,
-            F.floor(F.col("first.visit_no") / _PARENTS_PER_BUCKET),
-            [F.col("first.visit_no"), F.col("first.pos"), F.col("url")],
-            "rank",
-        )
-        frontier = cut_lineage(
-            ordered.where(F.col("rank") < budget - used).select(
-                "url", (F.col("rank") + used).alias("visit_no"), F.lit(level).alias("level")
+        order = ["first.visit_no", "first.pos", "url"]
+        placed = cut_lineage(
+            found.repartitionByRange(*order).sortWithinPartitions(*order).select(
+                "url", F.monotonically_increasing_id().alias("place")
             )
         )
-        new = frontier.count()
+        # The partition and the row in it are in the place; one count per partition shifts them.
+        part, row = F.shiftright("place", 33), F.col("place").bitwiseAND((1 << 33) - 1)
+        shifts, new = [], 0
+        for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect():
+            shifts += [F.lit(r["part"]), F.lit(used + new)]
+            new += r["n"]
         if new == 0:
             return visited
+        numbers = F.element_at(F.create_map(*shifts), part) + row
+        frontier = placed.select("url", numbers.alias("visit_no"), F.lit(level).alias("level"))
+        if used + new > budget:
+            frontier = frontier.where(F.col("visit_no") < budget)
         used += new
         if level % _COMPACT_EVERY == 0:
             visited, known = cut_lineage(visited), cut_lineage(known)
