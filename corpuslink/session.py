@@ -63,3 +63,13 @@ def discard(spark: SparkSession, folder: str) -> None:
     """Remove a stored copy that nothing will read again."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let rows with whole texts go to Python tasks in smaller batches than Spark's default of
+    10,000 rows. A setting the session has been given stays."""
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, str(rows))
