@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpuslink.llm import exact_dedup, mixing, packing, shingle_join, toxicity
 from corpuslink.llm.queries import MIX_KEEP, MIX_TARGETS
-from corpuslink.session import shared_folder
+from corpuslink.session import shared_folder, small_batches
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the passage scorer rejects go; it learns from the labels that are not held out."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels.where(~toxicity.held_out(labels["doc_id"])))
     return toxicity.without_toxic(docs, model)
@@ -24,11 +25,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id stays."""
+    small_batches(spark)
     return exact_dedup.without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles at 0.8 or more the smallest id stays."""
+    small_batches(spark)
     return shingle_join.without_near_copies(docs, width=5, percent=80)
 
 
@@ -39,6 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
+    small_batches(spark)
     return packing.pack_documents(docs)
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuslink.llm.tokens import END_ID, default_tokenizer, encoder
+from corpuslink.llm.wordhash import give_back
 from corpuslink.session import discard, shared_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -137,6 +138,7 @@ _NO_ID = -(1 << 63)
 
 
 def _tokenised(docs: DataFrame, path: str) -> DataFrame:
+    @give_back
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = encoder(path).encode
         for batch in batches:
@@ -172,6 +174,7 @@ def _small(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[pa.RecordBatc
 
 
 def _counts(stored: DataFrame) -> np.ndarray:
+    @give_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
@@ -204,6 +207,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, limit:
     lengths = code_lengths(_counts(stored), limit)
     codes = canonical_codes(lengths)
 
+    @give_back
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _small(batch):
@@ -224,6 +228,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, limit:
     stored.mapInArrow(coded, _CODED).write.option("compression", "uncompressed").parquet(coded_at)
     discard(spark, ids_at)
 
+    @give_back
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, no, before, held = TaskContext.get().partitionId(), 0, 0, []
 
@@ -283,6 +288,7 @@ def read_ids(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFr
     )
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
 
+    @give_back
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():

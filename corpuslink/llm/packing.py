@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.llm.tokens import END_ID, default_tokenizer, encoder
+from corpuslink.llm.wordhash import give_back
 from corpuslink.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -98,6 +99,7 @@ def cut_documents(docs: DataFrame, max_tokens: int, tokenizer: str | None = None
     and the tokens of the whole document with its end id."""
     path = tokenizer or default_tokenizer()
 
+    @give_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
         for batch in batches:

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslink.llm import exact_dedup, huffman, mixing, packing, pii, resharding, shingle_join, topk, toxicity, url_rules
-from corpuslink.session import shared_folder
+from corpuslink.session import shared_folder, small_batches
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

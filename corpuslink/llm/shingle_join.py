@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslink.llm.components import components
-from corpuslink.llm.wordhash import WordHasher, blocks, mix, shingles, white_space
+from corpuslink.llm.wordhash import WordHasher, blocks, give_back, mix, shingles, white_space
 from corpuslink.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -68,6 +68,7 @@ def _digest(tokens: np.ndarray) -> bytes:
 def set_sizes(docs: DataFrame, width: int = 5) -> DataFrame:
     """``doc_id``, ``n_shingles`` and the ``digest`` of the set (null if it is empty)."""
 
+    @give_back
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _sets(batches, width):
             yield pa.RecordBatch.from_arrays(
@@ -100,6 +101,7 @@ def _table(rows: list[dict], schema: str) -> pa.RecordBatch:
 def _dealt_shingles(docs: DataFrame, width: int, groups: int) -> DataFrame:
     """Chunks of documents cut by shingle: group, chunk, shingles and the document's place."""
 
+    @give_back
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
         ids, sets, seen, total = [], [], set(), 0
@@ -228,6 +230,7 @@ def _refined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ``component``), with prefixes chosen anew: only a shingle that meets several components can be
     shared by a pair, all others of a set count as its own."""
 
+    @give_back
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -258,6 +261,7 @@ def _refined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select("doc", "n", "component", "shared.df", "shared.token")
     )
 
+    @give_back
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -282,6 +286,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def tokens(low: bytes, high: bytes) -> np.ndarray:
         return (np.frombuffer(high, np.uint16).astype(np.uint64) << np.uint64(32)) | np.frombuffer(low, np.uint32)
 
+    @give_back
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []

@@ -58,7 +58,7 @@ class _Places:
         if 2 * (self.n + len(hashes)) > len(self.keys):
             old = np.flatnonzero(self.places >= 0)
             keys, places = self.keys[old], self.places[old]
-            self.bits = int(4 * (self.n + len(hashes))).bit_length()
+            self.bits = int(2 * (self.n + len(hashes))).bit_length()
             self.keys = np.zeros(1 << self.bits, np.uint64)
             self.places = np.full(1 << self.bits, -1, np.int32)
             self._put(keys, places)

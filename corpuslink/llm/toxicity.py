@@ -32,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslink.llm.wordhash import WordHasher, blocks, not_letters
+from corpuslink.llm.wordhash import WordHasher, blocks, give_back, not_letters
 from corpuslink.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -108,6 +108,7 @@ def token_counts(docs: DataFrame, label: str | None = None) -> DataFrame:
     labels a document counts a token once."""
     read = docs.select("text", F.col(label).cast("int").alias("label") if label else F.lit(-1).alias("label"))
 
+    @give_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(not_letters())
         held: dict[int, list[np.ndarray]] = {}
@@ -214,6 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, max_tokens
     decay = _decay(scores, shares, drift)
     first = Model(tokens, scores, drift, decay, 0.0, (0.0, 1.0))
 
+    @give_back
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, results in _scanned(batches, first):
             yield pa.RecordBatch.from_arrays(
@@ -268,6 +270,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``score`` (0 to 1), ``predicted`` and the significant ``passages`` of every row."""
     kind = pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("score", pa.float64())]))
 
+    @give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, results in _scanned(batches, model):
             held = [_evidence(found, max(n, 1), model) for found, n in results]
@@ -285,6 +288,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that the model does not call toxic, with all their columns."""
 
+    @give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, results in _scanned(batches, model):
             margin = model.weights[0] + model.weights[1] * _shape(
