@@ -215,14 +215,14 @@ def find_personal_data(docs: DataFrame, fit_rows: int = FIT_ROWS, precision: flo
 
 
 def personal_data(docs: DataFrame, fit_rows: int = FIT_ROWS, precision: float = PRECISION) -> DataFrame:
-    """Per row the number of base spans of each kind, the digest of the base spans, all spans and
-    the number of those added."""
+    """Per row the number of spans of each kind, the digest of the base spans, all spans and the
+    number of those added."""
     rows, spans = find_personal_data(docs, fit_rows, precision)
     number = F.array_position(F.array(*(F.lit(k) for k in KINDS)), F.col("kind"))
     item = F.struct(number.alias("no"), "start", "end", "base", F.concat_ws(":", "kind", "start", "end").alias("text"))
     listed = lambda items: F.array_join(F.transform(items, lambda x: x["text"]), ",")
     held = spans.groupBy("row").agg(
-        *(F.count(F.when(F.col("base") & (F.col("kind") == k), 1)).alias(f"n_{k}") for k in KINDS),
+        *(F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in KINDS),
         F.count(F.when(~F.col("base"), 1)).alias("n_added"),
         F.sort_array(F.collect_list(item)).alias("items"),
     )

@@ -134,10 +134,12 @@ def test_personal_data(frame):
         base = _base_spans(texts[r.doc_id] or "")
         counts = collections.Counter(kind for kind, *_ in base)
         joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
-        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(counts[k] for k in pii.KINDS), r.doc_id
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest(), r.doc_id
         spans = [s for s in r.spans.split(",") if s]
         assert {s for s in joined.split(",") if s} <= set(spans) and len(spans) == len(base) + r.n_added
+        found = collections.Counter(s.split(":")[0] for s in spans)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(found[k] for k in pii.KINDS)
+        assert all(found[k] >= counts[k] for k in pii.KINDS)
         order = [(pii.KINDS.index(s.split(":")[0]), int(s.split(":")[1])) for s in spans]
         assert order == sorted(order)
 
@@ -149,7 +151,7 @@ def test_numbers_inside_failing_runs_are_added(frame):
     rows += [(200 + i, f"no {rng.randint(10**15, 10**16 - 1)} here") for i in range(200)]
     rows.append((999, f"both {good[0]} {good[1]} end"))
     (r,) = [r for r in pii.personal_data(frame(rows)).collect() if r.doc_id == 999]
-    assert (r.n_card, r.n_added, r.spans) == (0, 2, "card:5:21,card:22:38")
+    assert (r.n_card, r.n_added, r.spans) == (2, 2, "card:5:21,card:22:38")
 
 
 def test_personal_data_of_nothing(frame):
