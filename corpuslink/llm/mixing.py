@@ -39,15 +39,16 @@ def topic_of(text: Column) -> Column:
     )
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """``docs`` with its categories and ``n_words``; source and language lose their nulls."""
+def described(docs: DataFrame, prefix: str = "_") -> DataFrame:
+    """``docs`` with its categories and ``n_words``, named with ``prefix``; source and language
+    lose their nulls."""
     text = F.coalesce("text", F.lit(""))
     return docs.withColumns(
         {
-            "_source": F.coalesce(F.col("source").cast("string"), F.lit("unknown")),
-            "_lang": F.coalesce(F.col("lang").cast("string"), F.lit("unknown")),
-            "_topic": topic_of(text),
-            "_n_words": F.regexp_count(text, F.lit(WORD)).cast("long"),
+            f"{prefix}source": F.coalesce(F.col("source").cast("string"), F.lit("unknown")),
+            f"{prefix}lang": F.coalesce(F.col("lang").cast("string"), F.lit("unknown")),
+            f"{prefix}topic": topic_of(text),
+            f"{prefix}n_words": F.regexp_count(text, F.lit(WORD)).cast("long"),
         }
     )
 
@@ -105,6 +106,7 @@ def rates(
     docs: DataFrame, targets: dict[str, dict[str, float] | float], keep_share: float, seed: int = 0
 ) -> DataFrame:
     """Per row ``doc_id``, its categories, ``n_words``, ``probability`` and whether it is ``kept``."""
+    docs = docs.select("doc_id", "text", "source", "lang")
     named = {f"_{dim}": dim for dim in (*DIMENSIONS, "n_words")}
     seen = cut_lineage(described(docs).select("doc_id", *named).withColumnsRenamed(named))
     cells = seen.groupBy(*DIMENSIONS).agg(F.sum("n_words").alias("tokens"))
@@ -120,12 +122,16 @@ def sampled(
     docs: DataFrame, targets: dict[str, dict[str, float] | float], keep_share: float, seed: int = 0
 ) -> DataFrame:
     """The kept rows of ``docs`` with all their columns."""
-    full = described(docs)
-    cells = full.groupBy(*(F.col(f"_{d}").alias(d) for d in DIMENSIONS)).agg(F.sum("_n_words").alias("tokens"))
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    full = described(docs, prefix)
+    cells = full.groupBy(*(F.col(prefix + d).alias(d) for d in DIMENSIONS)).agg(F.sum(f"{prefix}n_words").alias("tokens"))
     cells = calibrated(cut_lineage(raked(cut_lineage(cells), targets)), keep_share)
-    own = cells.select(*(F.col(d).alias(f"_{d}") for d in DIMENSIONS), F.col("probability").alias("_probability"))
+    chance = f"{prefix}probability"
+    own = cells.select(*(F.col(d).alias(prefix + d) for d in DIMENSIONS), F.col("probability").alias(chance))
     return (
-        full.join(own, [f"_{d}" for d in DIMENSIONS])
-        .where(draw(F.col("doc_id"), seed) < F.col("_probability"))
+        full.join(own, [prefix + d for d in DIMENSIONS])
+        .where(draw(F.col("doc_id"), seed) < F.col(chance))
         .select(*docs.columns)
     )

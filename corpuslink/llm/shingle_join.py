@@ -414,6 +414,8 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
 
 
 def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with the row of the smallest id of each component, with all its columns."""
-    stays = similar_documents(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stays, "doc_id", "left_semi").select(*docs.columns)
+    """``docs`` with the rows of the smallest id of each component, with all its columns. Rows
+    without an id stay."""
+    found = similar_documents(docs, width, percent)
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

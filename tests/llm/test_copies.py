@@ -121,5 +121,16 @@ def test_texts_whose_hashes_collide_stay_apart(frame, monkeypatch):
 
 def test_exact_duplicates_of_nothing_and_of_repeated_rows(frame):
     assert exact_dedup.exact_duplicates(frame([])).count() == 0
-    rows = [(1, "a"), (1, "a"), (2, "a"), (1, "b")]
-    assert exact_dedup.without_copies(frame(rows)).count() == 2
+    rows = [(1, "a"), (1, "a"), (2, "a"), (1, "b"), (None, "a"), (None, None), (None, "")]
+    for keep, want in (("smallest", [(1, "a"), (1, "b")]), ("largest", [(1, "b"), (2, "a")])):
+        docs = frame(rows).selectExpr("*", "'x' AS _sha", "'y' AS __id")
+        stays = exact_dedup.without_copies(docs, keep)
+        assert stays.columns == docs.columns
+        got = [(r.doc_id, r.text or "") for r in stays.collect()]
+        assert sorted(g for g in got if g[0] is not None) == want and [g for g in got if g[0] is None] == [(None, "")]
+
+
+def test_rows_without_an_id_stay_among_near_copies(frame):
+    rows = [(4, "a b c d e f"), (3, "A b c d e f"), (None, "a b c d e f"), (None, None)]
+    stays = [(r.doc_id, r.text) for r in shingle_join.without_near_copies(frame(rows)).collect()]
+    assert sorted(stays, key=repr) == sorted([(3, "A b c d e f"), (None, "a b c d e f"), (None, None)], key=repr)

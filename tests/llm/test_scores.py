@@ -181,7 +181,7 @@ def test_raked_weights_meet_their_targets(spark):
 
 def test_kept_documents_follow_the_probabilities(spark):
     docs = spark.createDataFrame(_mix_rows(), "doc_id long, text string, lang string, source string")
-    docs = docs.selectExpr("*", "'x' AS topic", "1 AS tokens", "2 AS weight")
+    docs = docs.selectExpr("*", "'x' AS topic", "1 AS tokens", "2 AS weight", "'y' AS _source", "3 AS __probability")
     targets = {"source": 0.7, "lang": {"en": 0.6, "de": 0.2, "fr": 0.2}, "topic": 0.8}
     rates = mixing.rates(docs, targets, 0.5).toPandas()
     assert len(rates) == 4000
