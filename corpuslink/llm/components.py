@@ -10,13 +10,13 @@ from corpuslink.session import cut_lineage
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
     return both.where("b > a").join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """``edges`` point from the larger to the smaller id."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = cut_lineage(edges.groupBy("a").agg(F.min("b").alias("m")))
     linked = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return linked.union(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -26,8 +26,9 @@ def components(links: DataFrame) -> DataFrame:
 
     ``links`` has two columns of ids; null ids and links of an id to itself are left out. Every
     round joins each neighbour to the smallest one it sees (large star, then small star); the
-    number of rounds grows with the logarithm of the longest chain. One row per round reaches the
-    driver."""
+    number of rounds grows with the logarithm of the longest chain. The smallest neighbours are
+    stored before the join, so that both its sides are plain shuffles and an id with very many links
+    can be split. One row per round reaches the driver."""
     one, two = links.columns
     edges = cut_lineage(
         links.where(F.col(one) != F.col(two))
