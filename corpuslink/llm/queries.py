@@ -154,6 +154,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_shingle_join": """
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents
+        ),
+        sets AS MATERIALIZED (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+                WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+            FROM worded
+        ),
+        sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+        ),
+        links AS MATERIALIZED (
+            SELECT s.a, s.b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+            WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)
+        ),
+        both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached(id, other) AS (
+            SELECT DISTINCT a, a FROM both_ways UNION
+            SELECT r.id, w.b FROM reached r JOIN both_ways w ON w.a = r.other
+        ),
+        least AS (SELECT id, min(other) AS component FROM reached GROUP BY id)
+        SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(l.component, d.doc_id) AS component_id
+        FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN least l ON l.id = d.doc_id
+    """,
     "op2_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v

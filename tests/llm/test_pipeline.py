@@ -3,7 +3,7 @@ import os
 import pytest
 
 import corpus_pipeline
-from corpuslink.llm import mixing, shingle_join, toxicity
+from corpuslink.llm import mixing, toxicity
 from corpuslink.llm.queries import MIX_KEEP, MIX_TARGETS
 from tests.llm.test_copies import _brute
 
@@ -36,4 +36,4 @@ def test_stages_keep_the_columns(spark):
     empty = docs.where("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, empty, SF_DIR).columns == docs.columns
-    assert len(corpus_pipeline.STAGES) == 5 and shingle_join.VERIFY_COST > 0
+    assert len(corpus_pipeline.STAGES) == 5
