@@ -3,6 +3,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from corpuslink.plans import catalog
 from tests.compare import differences, duck
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,6 +20,10 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_every_query_of_the_catalog_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.SQL)
+
+
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     assert differences(contract.queries()[name](spark, SF_DIR), con, contract.oracle_sql()[name]) is None
