@@ -311,6 +311,14 @@ def _can_share(percent: int):
     return (F.col("na") - F.col("owna") >= need) & (F.col("nb") - F.col("ownb") >= need)
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of ``labels`` with further links between them, if there are any."""
+    if links.isEmpty():
+        return labels
+    known = labels.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return cut_lineage(components(known.union(links)))
+
+
 def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``: the smallest id
     reachable through pairs of Jaccard similarity ``percent`` / 100 or more."""
@@ -380,11 +388,7 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
         .select(F.least("doc", "centre.doc").alias("a"), F.greatest("doc", "centre.doc").alias("b"))
         .distinct()
     )
-    links = cut_lineage(
-        labels.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-        .union(_verified(again, sets, percent))
-    )
-    labels = cut_lineage(components(links))
+    labels = _joined(labels, cut_lineage(_verified(again, sets, percent)))
 
     rest = _refined(across().select("doc", "component").distinct(), sets, percent)
     side = lambda x: rest.select(
@@ -401,11 +405,7 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
         .where("shared >= k")
         .select("a", "b")
     )
-    links = cut_lineage(
-        labels.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-        .union(_verified(pairs, sets, percent))
-    )
-    labels = components(links)
+    labels = _joined(labels, cut_lineage(_verified(pairs, sets, percent)))
     return (
         marks.select("doc_id", "n_shingles")
         .join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
