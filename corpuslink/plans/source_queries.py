@@ -85,7 +85,7 @@ def usable_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     fetched.write.parquet(folder)
     answers = F.element_at(F.array(*map(F.lit, (200, 404, 403, 500))), (F.col("page_id") % 4 + 1).cast("int"))
     usable = pages.usable_pages(pages.read_pages(spark, folder).withColumn("status", answers))
-    return usable.select("page_id", "url", F.char_length("html").alias("n_chars"), "status")
+    return usable.select("page_id", "url", F.char_length("html").cast("long").alias("n_chars"), "status")
 
 
 def search_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
