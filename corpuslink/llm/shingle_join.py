@@ -85,10 +85,10 @@ def set_sizes(docs: DataFrame, width: int = 5) -> DataFrame:
     )
 
 
-_PARTS = "g int, chunk bigint, docs binary, sizes binary, low binary, high binary, place binary"
-_BACK = "chunk bigint, docs binary, sizes binary, low binary, high binary, place binary, df binary"
+_PARTS = "g int, chunk bigint, docs binary, sizes binary, digests binary, low binary, high binary, place binary"
+_BACK = "chunk bigint, docs binary, sizes binary, digests binary, low binary, high binary, place binary, df binary"
 _PREFIXES = (
-    "doc bigint, n int, k int, own int, prefix array<bigint>, place array<int>, low binary, high binary"
+    "doc bigint, digest binary, n int, k int, own int, prefix array<bigint>, place array<int>, low binary, high binary"
 )
 
 
@@ -99,12 +99,13 @@ def _table(rows: list[dict], schema: str) -> pa.RecordBatch:
 
 
 def _dealt_shingles(docs: DataFrame, width: int, groups: int) -> DataFrame:
-    """Chunks of documents cut by shingle: group, chunk, shingles and the document's place."""
+    """Chunks of documents cut by shingle: group, chunk, shingles and the document's place. Of equal
+    sets in a chunk the smallest id stands for all, so the smallest of all copies is always dealt."""
 
     @give_back
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
-        ids, sets, seen, total = [], [], set(), 0
+        ids, sets, seen, total = [], [], {}, 0
 
         def cut() -> pa.RecordBatch:
             tokens = np.concatenate(sets) >> np.uint64(16)
@@ -121,20 +122,24 @@ def _dealt_shingles(docs: DataFrame, width: int, groups: int) -> DataFrame:
                 for g, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a
             ]
             head = {"g": (chunk * 7919 + (chunk >> 32)) % groups, "chunk": chunk,
-                    "docs": np.array(ids, np.int64).tobytes(), "sizes": sizes.tobytes()}
+                    "docs": np.array(ids, np.int64).tobytes(), "sizes": sizes.tobytes(),
+                    "digests": b"".join(seen)}
             return _table([head, *rows], _PARTS)
 
         for doc_ids, found in _sets(batches, width):
             for doc_id, tokens in zip(doc_ids.to_pylist(), found):
-                if not len(tokens) or doc_id is None or (digest := _digest(tokens)) in seen:
-                    continue  # equal sets are linked by their digest
-                seen.add(digest)
+                if not len(tokens) or doc_id is None:
+                    continue
+                place = seen.setdefault(_digest(tokens), len(ids))
+                if place < len(ids):  # equal sets are linked by their digest
+                    ids[place] = min(ids[place], doc_id)
+                    continue
                 ids.append(doc_id)
                 sets.append(tokens)
                 total += len(tokens)
                 if total >= CHUNK_TOKENS or len(ids) == 1 << 16:
                     yield cut()
-                    ids, sets, seen, total, chunk = [], [], set(), 0, chunk + 1
+                    ids, sets, seen, total, chunk = [], [], {}, 0, chunk + 1
         if ids:
             yield cut()
 
@@ -148,7 +153,7 @@ def _join_bytes(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
 def _repeated(table: pa.Table) -> pa.Table:
     """Of one group: for each chunk its shingles that occur in two documents or more."""
     heads = table.filter(table["docs"].is_valid())
-    rows = [r | {"df": None} for r in heads.select(["chunk", "docs", "sizes"]).to_pylist()]
+    rows = [r | {"df": None} for r in heads.select(["chunk", "docs", "sizes", "digests"]).to_pylist()]
     body = table.filter(table["low"].is_valid())
     if body.num_rows:
         low = _join_bytes(body["low"], np.uint32)
@@ -204,7 +209,7 @@ def _prefixes(percent: int):
         order = np.lexsort((tokens, df, place))
         tokens, df = tokens[order], df[order]
         edges = np.searchsorted(place[order], np.arange(len(docs) + 1)).tolist()
-        out: dict[str, list] = {name: [] for name in ("doc", "n", "k", "own", "prefix", "place", "low", "high")}
+        out: dict[str, list] = {name: [] for name in ("doc", "digest", "n", "k", "own", "prefix", "place", "low", "high")}
         for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
             n = int(sizes[i])
             k, long, base = prefix_length(df[a:b], n, percent)
@@ -214,12 +219,12 @@ def _prefixes(percent: int):
             unique = n - (b - a)  # these come first in the order
             for name, value in zip(
                 out,
-                (int(docs[i]), n, k, unique, tokens[a : a + long].astype(np.int64),
+                (int(docs[i]), head["digests"][16 * i : 16 * i + 16], n, k, unique, tokens[a : a + long].astype(np.int64),
                  np.arange(unique, unique + long, dtype=np.int32),
                  own.astype(np.uint32).tobytes(), (own >> np.uint64(32)).astype(np.uint16).tobytes()),
             ):
                 out[name].append(value)
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())
         return pa.table({name: pa.array(v, kind) for (name, v), kind in zip(out.items(), kinds)})
 
     return choose
@@ -335,7 +340,7 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     copies = cut_lineage(
         marks.join(equal, ["digest", "n_shingles"])
         .where("doc_id <> b")
-        .select(F.col("doc_id").alias("a"), "b")
+        .select(F.col("doc_id").alias("a"), "b", "digest")
         .distinct()
     )
 
@@ -343,7 +348,9 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     returned = _dealt_shingles(docs, width, groups).groupBy("g").applyInArrow(_repeated, _BACK)
     sets = cut_lineage(returned.groupBy("chunk").applyInArrow(_prefixes(percent), _PREFIXES))
     # A prefix shingle met by one document alone links nothing.
-    entries = sets.select(
+    # The smallest id of a set stands for its copies; another set of the same id is no copy.
+    copied = copies.select(F.col("a").alias("doc"), "digest")
+    entries = sets.join(copied, ["doc", "digest"], "left_anti").select(
         "doc", "n", "k", "own", F.explode(F.arrays_zip("prefix", "place")).alias("e")
     ).select("doc", "n", "k", "own", F.col("e.prefix").alias("token"), F.col("e.place").alias("place"))
     most_shared = F.min_by("doc", F.floor(1000 * F.col("own") / F.col("n")) + F.pmod(F.xxhash64("doc"), F.lit(1 << 40)) / float(1 << 40))
@@ -358,16 +365,14 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
         entries.where("doc <> centre")
         .select(F.col("doc").alias("a"), F.col("centre").alias("b"))
         .distinct()
-        .join(copies.select("a").distinct(), "a", "left_anti")
     )
-    links = cut_lineage(copies.union(_verified(one_each, sets, percent)))
+    links = cut_lineage(copies.select("a", "b").distinct().union(_verified(one_each, sets, percent)))
     labels = cut_lineage(components(links))
 
     def across() -> DataFrame:
-        """Entries of shingles that still meet several components; one of each set of copies."""
+        """Entries of shingles that still meet several components."""
         own = (
             entries.drop("centre")
-            .join(copies.select(F.col("a").alias("doc")).distinct(), "doc", "left_anti")
             .join(labels.withColumnRenamed("id", "doc"), "doc", "left")
             .withColumn("component", F.coalesce("component", "doc"))
         )

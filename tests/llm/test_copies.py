@@ -84,6 +84,26 @@ def test_no_documents_and_repeated_ids(frame):
     assert got == {(1, 2, 1), (2, 2, 1), (3, 2, 1), (None, 2, None)}
 
 
+def test_copies_in_any_order_are_linked_to_near_copies(frame):
+    rows = []
+    for family in range(8):
+        words = [f"f{family}w{i}" for i in range(40)]
+        one, two = " ".join(words), " ".join([*words[:-1], "end"])
+        rows += [(4 * family + 3, one), (4 * family + 2, two), (4 * family + 1, one), (4 * family, two)]
+    rows.sort(reverse=True)
+    got = shingle_join.similar_documents(frame(rows).coalesce(1))
+    assert sorted(map(tuple, got.collect())) == _brute(rows)
+
+
+def test_a_copy_of_one_text_may_have_another_text(frame):
+    words = [[f"{x}{i}" for i in range(40)] for x in "abc"]
+    one, two, other = (" ".join(w) for w in words)
+    near = " ".join([*words[2][:-1], "end"])
+    rows = [(5, one), (2, one), (6, two), (3, two), (5, other), (6, near)]
+    got = shingle_join.similar_documents(frame(rows).coalesce(1))
+    assert sorted(map(tuple, got.collect())) == _brute(rows)
+
+
 def test_one_row_of_each_component_stays(frame, corpus):
     stays = [r.doc_id for r in shingle_join.without_near_copies(frame(corpus)).collect()]
     assert sorted(stays) == sorted({c for _, _, c in _brute(corpus)})
