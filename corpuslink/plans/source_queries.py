@@ -12,6 +12,9 @@ from corpuslink.plans.views import with_views
 from corpuslink.session import shared_folder
 from corpuslink.sources import pages, records, tables, textfiles, wordlist
 
+#: Rows of a table in one whole file.
+FILE_ROWS = 10_000
+
 
 def records_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "records")
@@ -30,25 +33,25 @@ def links_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def code_map_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON object per file, a file per priority."""
+    """One JSON object per file, a file per range of keys."""
     folder = shared_folder(spark, "codes")
     code = F.concat_ws(" ", F.lit("CODE"), F.col("p_partkey").cast("string"))
-    group = (F.col("p_partkey") % 7).alias("g")
+    group = F.floor(F.col("p_partkey") / FILE_ROWS).alias("g")
     entry = F.map_from_entries(F.collect_list(F.struct(code, "p_partkey")))
     objects = views.table(spark, sf_dir, "part").groupBy(group).agg(F.to_json(entry).alias("value"))
-    objects.repartition(7, "g").write.partitionBy("g").text(folder)
-    return pages.read_code_map(spark, f"{folder}/*/*.txt").select("code", "course_id")
+    objects.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    return pages.read_code_map(spark, f"{folder}/*.txt").select("code", "course_id")
 
 
 def text_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A folder of whole files per role, compared by length and digest."""
+    """Folders of whole files of bounded length per role, compared by lines and characters."""
     folder = shared_folder(spark, "samples")
     turns = views.table(spark, sf_dir, "conversations").select(
         "role", F.regexp_replace("text", "[\r\n]", " ").alias("value")
     )
-    turns.repartition(4, "role").write.partitionBy("role").text(folder)
+    turns.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("role").text(folder)
     got = textfiles.read_text_samples(spark, {r: f"{folder}/role={r}/*.txt" for r in ("user", "assistant")})
-    lines = got.select("label", F.explode(F.split(F.regexp_replace("text", "\n$", ""), "\n")).alias("line"))
+    lines = got.select("label", F.explode(F.split(F.regexp_replace("text", r"\n\z", ""), "\n")).alias("line"))
     return lines.groupBy("label").agg(F.count("*").alias("n_lines"), F.sum(F.char_length("line")).alias("n_chars"))
 
 
