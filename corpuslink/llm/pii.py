@@ -3,9 +3,11 @@
 Base spans follow fixed patterns per kind, leftmost and without overlap, with checks on the digits.
 On top, wider generators propose spans (masked addresses, and numbers inside longer runs that fail
 as a whole), which may overlap. Boosted trees score a proposal by features of its form and of its
-surroundings; they learn from a bounded sample of proposals, of which those that are base spans
-count as right. Per kind the lowest score whose precision on a held-back part of the sample is high
-enough is the threshold. Proposals above it that overlap no base span of their kind are added.
+surroundings; they learn from a bounded sample of proposals of each kind, of which those that are
+base spans count as right. Forms that no base pattern can match (masked addresses, phones without a
+plus) are neither right nor wrong. Per kind the lowest score whose precision over all other
+proposals is high enough is the threshold. Proposals above it that overlap no base span of their
+kind are added.
 
 Positions are code points, the end exclusive. Every pattern is written so that it neither recurses
 nor scans a run of characters again and again, whatever the text's length. Spans are counted up by
@@ -18,6 +20,8 @@ adds nothing.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,6 +100,11 @@ def _base_holds(kind: Column, match: Column) -> Column:
     )
 
 
+def _comparable(kind: Column, match: Column) -> Column:
+    """Whether a proposal has a form that the base pattern of its kind can match."""
+    return F.when(kind == "email", ~match.rlike(r"[\x20(\[{]")).when(kind == "phone", F.startswith(match, F.lit("+"))).otherwise(True)
+
+
 def proposals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All rows (``row``, ``doc_id``), and every match of the base and the wide patterns:
     ``row``, ``kind``, ``base`` (and checks hold), ``start``, ``end``, ``match`` and what is near."""
@@ -168,25 +177,31 @@ def _accepted(wide: DataFrame, fit_rows: int, precision: float) -> DataFrame | N
     from pyspark.ml.functions import vector_to_array
 
     order = F.xxhash64("row", "kind", "start")
-    sample = cut_lineage(described(wide).orderBy(order, "row", "kind", "start").limit(fit_rows).withColumn("part", F.pmod(order, F.lit(3))))
+    known = wide.where("right is not null").withColumn("part", F.pmod(order, F.lit(3)))
+    each = [known.where(F.col("kind") == k).orderBy(order, "row", "start").limit(fit_rows // len(KINDS)) for k in KINDS]
+    sample = cut_lineage(described(reduce(DataFrame.unionByName, each)))
     classes = {r[0] for r in sample.where("part > 0").select("right").distinct().collect()}  # two at most
     if classes != {0.0, 1.0}:
         return None
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     trees = GBTClassifier(labelCol="right", maxDepth=4, maxIter=20, stepSize=0.3, seed=7)
     model = trees.fit(assemble.transform(sample.where("part > 0")).select("features", "right").coalesce(2))
-    scored = lambda rows: model.transform(assemble.transform(rows)).withColumn(
-        "score", F.round(vector_to_array("probability")[1], 6)
+    scored = cut_lineage(
+        model.transform(assemble.transform(described(wide)))
+        .withColumn("score", F.round(vector_to_array("probability")[1], 6))
+        .select("row", "kind", "start", "end", "score", "right")
     )
-    above = Window.partitionBy("kind").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    above = Window.partitionBy("kind").orderBy(F.desc("score"))
     thresholds = (
-        scored(sample.where("part = 0"))
-        .withColumn("precision", F.avg("right").over(above))
+        scored.groupBy("kind", "score")
+        .agg(F.sum("right").alias("right"), F.count("right").alias("known"))
+        .where("known > 0")
+        .withColumn("precision", F.sum("right").over(above) / F.sum("known").over(above))
         .where(F.col("precision") >= precision)
         .groupBy("kind")
         .agg(F.greatest(F.min("score"), F.lit(0.5)).alias("least"))
     )
-    return scored(described(wide)).join(thresholds, "kind").where("score >= least").select("row", "kind", "start", "end", "score")
+    return scored.join(thresholds, "kind").where("score >= least").select("row", "kind", "start", "end", "score")
 
 
 def find_personal_data(docs: DataFrame, fit_rows: int = FIT_ROWS, precision: float = PRECISION) -> tuple[DataFrame, DataFrame]:
@@ -196,7 +211,7 @@ def find_personal_data(docs: DataFrame, fit_rows: int = FIT_ROWS, precision: flo
     base = found.where("base").select("row", "kind", "start", "end")
     wide = found.where("not base")
     right = base.select("row", "kind", "start", "end", F.lit(1.0).alias("right"))
-    wide = cut_lineage(wide.join(right, ["row", "kind", "start", "end"], "left").fillna(0.0, ["right"]))
+    wide = cut_lineage(wide.join(right, ["row", "kind", "start", "end"], "left").withColumn("right", F.coalesce("right", F.when(_comparable(F.col("kind"), F.col("match")), 0.0))))
     accepted = _accepted(wide, fit_rows, precision)
     spans = base.withColumn("base", F.lit(True))
     if accepted is None:

@@ -154,6 +154,30 @@ def test_numbers_inside_failing_runs_are_added(frame):
     assert (r.n_card, r.n_added, r.spans) == (2, 2, "card:5:21,card:22:38")
 
 
+def _wrong_cards(n):
+    rng = random.Random(4)
+    made = (str(rng.randint(10**15, 10**16 - 1)) for _ in range(2 * n))
+    return [f"no {x} here" for x in made if not _luhn(x)][:n]
+
+
+def test_additions_of_a_rare_kind_do_not_depend_on_the_sample(frame):
+    rows = list(enumerate(_wrong_cards(4000)))
+    rows += [(5000 + i, f"call +1 (826) 555-{1000 + i} now") for i in range(100)]
+    rows.append((9999, "call +1 (826) 555-4081 190.137.223.204 now"))
+    by = {r.doc_id: r for r in pii.personal_data(frame(rows), fit_rows=40).collect()}
+    assert (by[9999].n_phone, by[9999].n_added) == (1, 1) and by[9999].spans.split(",")[-1] == "phone:5:22"
+    assert sum(r.n_added for r in by.values()) == 1
+
+
+def test_masked_forms_are_no_wrong_examples(frame):
+    rows = list(enumerate(_wrong_cards(200)))
+    rows += [(1000 + i, f"write {'joe' * (i % 9 + 1)}{i}@mail.org now") for i in range(200)]
+    rows += [(2000 + i, f"write joe{i} (at) mail (dot) org now") for i in range(50)]
+    by = {r.doc_id: r for r in pii.personal_data(frame(rows)).collect()}
+    assert all(by[2000 + i].n_email == by[2000 + i].n_added == 1 for i in range(50))
+    assert sum(r.n_added for r in by.values()) == 50
+
+
 def test_personal_data_of_nothing(frame):
     assert pii.personal_data(frame([])).count() == 0
     (r,) = pii.personal_data(frame([(1, None)])).collect()
