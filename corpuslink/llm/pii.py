@@ -43,7 +43,7 @@ WIDE = {
     "phone": r"(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)|(?<![0-9])[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
 }
 #: What a text must hold for a kind to be looked for at all.
-HINT = {"email": r"@|[\(\[\{]at[\)\]\}]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone": r"[0-9][\x20().-]?[0-9]"}
+HINT = {"email": r"@|[\(\[\{]at[\)\]\}]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]|[0-9][\x20().-]?[0-9]"}
 FIT_ROWS = 20_000
 PRECISION = 0.98
 FEATURES = (

@@ -154,6 +154,12 @@ def test_numbers_inside_failing_runs_are_added(frame):
     assert (r.n_card, r.n_added, r.spans) == (2, 2, "card:5:21,card:22:38")
 
 
+def test_phones_of_single_digits(frame):
+    text = "+1 (2) (3) (4) (5) (6) (7) (8) (9)"
+    (r,) = pii.personal_data(frame([(1, text)])).collect()
+    assert (r.n_phone, r.spans, r.base_sha256) == (1, "phone:0:33", hashlib.sha256(b"phone:0:33").hexdigest())
+
+
 def _wrong_cards(n):
     rng = random.Random(4)
     made = (str(rng.randint(10**15, 10**16 - 1)) for _ in range(2 * n))
