@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.llm import exact_dedup, huffman, mixing, packing, pii, resharding, shingle_join, topk, toxicity, url_rules
+from corpuslink.llm import (
+    exact_dedup,
+    hard_negatives,
+    huffman,
+    mixing,
+    packing,
+    pii,
+    resharding,
+    shingle_join,
+    topk,
+    toxicity,
+    url_rules,
+)
 from corpuslink.session import shared_folder, small_batches
 
 
@@ -67,6 +79,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("probability", F.round("probability", 6))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = hard_negatives.labelled_vectors(rows, "vec_id", "embedding", label, scale=256)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 #: Sources and topics a little flatter than they are, languages as named; half of all words.
 MIX_TARGETS = {"source": 0.7, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}, "topic": 0.8}
 MIX_KEEP = 0.5
@@ -151,6 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_resharding": op9_resharding,
     "op10_mixing": op10_mixing,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL: dict[str, str] = {
@@ -228,4 +248,28 @@ SQL: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) = 1
     """,
     "op10_mixing": _mixing_sql(),
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id
+        ),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER best AS INTEGER) AS rank,
+               n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+         AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+        WINDOW best AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)
+        QUALIFY row_number() OVER best <= 5
+    """,
 }
