@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslink.llm import (
+    decontamination,
     exact_dedup,
     hard_negatives,
     huffman,
@@ -79,6 +80,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("probability", F.round("probability", 6))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -170,6 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_resharding": op9_resharding,
     "op10_mixing": op10_mixing,
+    "op11_decontamination": op11_decontamination,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -248,6 +259,41 @@ SQL: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) = 1
     """,
     "op10_mixing": _mixing_sql(),
+    "op11_decontamination": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ),
+        items AS (
+            SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark
+        ),
+        windows AS MATERIALIZED (
+            SELECT DISTINCT item, least(10, len(words)) AS n, unnest(list_transform(
+                range(1, greatest(len(words) - 9, 1) + 1), lambda i: array_to_string(words[i:i + 9], ' '))) AS w
+            FROM items WHERE len(words) > 0
+        ),
+        lengths AS (SELECT DISTINCT n FROM windows),
+        places AS (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS p FROM docs, lengths WHERE len(words) >= n),
+        runs AS (SELECT r, n, p, array_to_string(words[p:p + n - 1], ' ') AS w FROM places),
+        hits AS MATERIALIZED (SELECT r, p, runs.n AS n, item FROM runs JOIN windows ON runs.n = windows.n AND runs.w = windows.w),
+        hit_words AS (
+            SELECT r, count(DISTINCT i) AS n_hit
+            FROM (SELECT r, unnest(range(p, p + n)) AS i FROM (SELECT DISTINCT r, p, n FROM hits)) GROUP BY r
+        ),
+        hit_items AS (
+            SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+            FROM (SELECT DISTINCT r, item FROM hits WHERE item IS NOT NULL) GROUP BY r
+        )
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+    """,
     "op13_hard_negatives": """
         WITH v AS (
             SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
