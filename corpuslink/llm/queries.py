@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslink.llm import (
+    alignment,
     decontamination,
     exact_dedup,
     hard_negatives,
@@ -89,6 +90,10 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(_documents(spark, sf_dir))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -181,6 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_resharding": op9_resharding,
     "op10_mixing": op10_mixing,
     "op11_decontamination": op11_decontamination,
+    "op12_alignment": op12_alignment,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
