@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +40,34 @@ def register_time_between(spark: SparkSession, name: str = "time_between") -> No
         )) * {EARTH_RADIUS_KM} * 1000 / ({WALKING_SPEED} * 60)
         """
     )
+
+
+def reach_cells(lon: Column, lat: Column, minutes: float) -> tuple[Column, Column]:
+    """Grid cells for an equi join of points at most ``minutes`` of walking apart: the cell of a point
+    (``band``, ``cell``) and the cells, at most nine, in which all points in its reach lie.
+
+    Bands of latitude are as high as the reach. Cells of a band are at least as wide as the reach is,
+    in degrees of longitude, at the latitude of the band or its neighbours that is nearest to a pole;
+    they go round the sphere, so reach across the date line is found as well."""
+    angle = min(max(minutes * WALKING_SPEED * 60 / (EARTH_RADIUS_KM * 1000) * (1 + 1e-9), 1e-9), math.pi)
+    high = math.degrees(angle) * (1 + 1e-9)
+
+    def n_cells(band: Column) -> Column:
+        farthest = F.least(F.greatest(F.abs((band - 1) * high - 90), F.abs((band + 2) * high - 90)), F.lit(90.0))
+        least_cos = F.cos(F.radians(farthest))
+        wide = 2 * F.degrees(F.asin(F.least(F.lit(1.0), math.sin(angle / 2) / least_cos))) * (1 + 1e-9)
+        whole = (least_cos < 1e-12) | F.lit(angle >= math.pi / 2)
+        return F.when(whole, 1).otherwise(F.greatest(F.lit(1), F.floor(360 / wide))).cast("long")
+
+    def cell_in(band: Column) -> Column:
+        n = n_cells(band)
+        return F.least(F.floor(F.pmod(lon, F.lit(360.0)) / (F.lit(360.0) / n)), n - 1)
+
+    def cells_near(band: Column) -> Column:
+        n = n_cells(band)
+        around = F.array(*[F.pmod(cell_in(band) + d, n) for d in (-1, 0, 1)])
+        return F.transform(F.array_distinct(around), lambda c: F.struct(band.alias("band"), c.alias("cell")))
+
+    own = F.floor((lat + 90) / high)
+    near = F.flatten(F.array(*[cells_near(own + d) for d in (-1, 0, 1)]))
+    return F.struct(own.alias("band"), cell_in(own).alias("cell")), near

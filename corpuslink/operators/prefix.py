@@ -2,15 +2,19 @@
 
 A dictionary is a DataFrame ``(word, line_no)`` with distinct words; ``line_no`` is any
 orderable value that tells in which order the words were first listed. The prefix index has
-one row per distinct prefix. All lookups are equi joins on the prefix or the word.
+one row per distinct prefix. Completions and decisions for given prefixes come from the intervals
+of a numbered dictionary; all lookups are equi joins.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslink.functions.text import nearby_keys, word_tokens
+from corpuslink.operators.prefix_intervals import NumberedWords, covered, in_chunks, words_and_spans
 from corpuslink.session import cut_lineage
 
 MAX_LISTED = 10
@@ -46,17 +50,17 @@ def prefix_index(words: DataFrame) -> DataFrame:
     )
 
 
-def completions(words: DataFrame, prefixes: DataFrame) -> DataFrame:
+def completions(words: DataFrame | NumberedWords, prefixes: DataFrame) -> DataFrame:
     """``(prefix, word, suffix)``: one row per asked prefix and word that starts with it.
 
-    Rows, not lists: a short prefix may complete to a large part of the dictionary.
-    """
-    asked = prefixes.select("prefix").distinct()
-    return (
-        _with_prefixes(words.select("word"))
-        .join(asked, "prefix")
-        .select("prefix", "word", F.expr("substring(word, length(prefix) + 1)").alias("suffix"))
-    )
+    Rows, not lists: a short prefix may complete to a large part of the dictionary. For several
+    lookups number the words once and pass them."""
+    index = words if isinstance(words, NumberedWords) else words.select("word")
+    return covered(*words_and_spans(index, prefixes)).select("prefix", "word", _suffix())
+
+
+def _suffix() -> Column:
+    return F.expr("substring(word, length(prefix) + 1)").alias("suffix")
 
 
 def _tree_steps(words: DataFrame) -> DataFrame:
@@ -82,6 +86,8 @@ def _tree_steps(words: DataFrame) -> DataFrame:
     deeper = F.col("n_words") - F.col("ends")
     return nodes.select(
         "prefix",
+        "ends",
+        deeper.alias("deeper"),
         (F.sum("ends").over(siblings) + F.coalesce(F.sum(deeper).over(earlier), F.lit(0))).alias("jump"),
         F.coalesce(F.sum("ends").over(earlier), F.lit(0)).alias("land"),
     )
@@ -116,29 +122,43 @@ def _positions(steps: DataFrame, words: DataFrame) -> DataFrame:
     )
 
 
-def ordered_completions(words: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """``(prefix, word, suffix, position)``: completions with their 0-based listing position."""
+@dataclass(frozen=True)
+class TreeWords:
+    """A written dictionary in listing order: ``words`` (``word``, ``pos``, ``chunk``) and the
+    ``steps`` of every prefix."""
+
+    words: DataFrame
+    steps: DataFrame
+
+
+def tree_words(words: DataFrame) -> TreeWords:
+    """Number a dictionary in listing order."""
     steps = cut_lineage(_tree_steps(words))
-    asked = prefixes.select(F.col("prefix").alias("word")).distinct()
-    starts = asked.join(_depth_offsets(steps, asked), "word", "left").select(
-        F.col("word").alias("prefix"), F.coalesce("passed", F.lit(0)).alias("start")
-    )
-    starts = starts.join(
-        words.select(F.col("word").alias("prefix"), F.lit(1).alias("own")), "prefix", "left"
-    )
-    return (
-        _with_prefixes(_positions(steps, words))
-        .join(starts, "prefix")
-        .select(
-            "prefix",
-            "word",
-            F.expr("substring(word, length(prefix) + 1)").alias("suffix"),
-            F.when(F.col("word") == F.col("prefix"), F.lit(0))
-            .otherwise(F.col("tree_pos") - F.col("start") + F.coalesce("own", F.lit(0)))
-            .cast("long")
-            .alias("position"),
+    return TreeWords(cut_lineage(in_chunks(_positions(steps, words).withColumnRenamed("tree_pos", "pos"))), steps)
+
+
+def ordered_completions(words: DataFrame | TreeWords, prefixes: DataFrame) -> DataFrame:
+    """``(prefix, word, suffix, position)``: completions with their 0-based listing position.
+
+    The words longer than a prefix are one interval of the listing order; the prefix itself, if it
+    is a word, comes first."""
+    index = words if isinstance(words, TreeWords) else tree_words(words)
+    asked = prefixes.select(F.col("prefix").alias("word")).where(F.col("prefix").isNotNull()).distinct()
+    passed = _depth_offsets(index.steps, asked).withColumnRenamed("word", "prefix")
+    found = index.steps.select("prefix", "ends", "deeper").join(passed, "prefix")
+    everything = index.words.agg(F.count("*").alias("deeper")).join(asked.where("word = ''"))  # at most one row
+    spans = cut_lineage(
+        found.select("prefix", F.col("passed").alias("low"), (F.col("passed") + F.col("deeper")).alias("high"), "ends")
+        .unionByName(
+            everything.select(
+                F.lit("").alias("prefix"), F.lit(0).cast("long").alias("low"), F.col("deeper").alias("high"),
+                F.lit(0).cast("long").alias("ends"),
+            )
         )
-    )
+    )
+    longer = covered(index.words, spans).select("prefix", "word", (F.col("pos") - F.col("low") + F.col("ends")).alias("position"))
+    own = spans.where("ends = 1").select("prefix", F.col("prefix").alias("word"), F.lit(0).cast("long").alias("position"))
+    return longer.unionByName(own).select("prefix", "word", _suffix(), "position")
 
 
 def _in_tree_order(prefix: Column, held: Column) -> Column:
@@ -165,14 +185,18 @@ def decision_table(words: DataFrame, prefixes: DataFrame | None = None) -> DataF
     One completion is ``accepted``, up to ten are a ``list`` (the candidates, in tree order when
     the dictionary has ``line_no``), more only a ``count_only``. Lists are collected only for
     prefixes whose count is already known to be at most ten. ``prefixes`` limits the table to
-    the prefixes asked for.
+    the prefixes asked for, whose counts and words come from the intervals of the numbered words.
     """
-    index = prefix_index(words)
-    if prefixes is not None:
-        index = index.join(prefixes.select("prefix").distinct(), "prefix", "left_semi")
-    short = index.where(F.col("n_words").between(1, MAX_LISTED)).select("prefix")
     lines = F.col("line_no") if "line_no" in words.columns else F.lit(0)
-    members = _with_prefixes(words.select("word", lines.alias("line_no"))).join(short, "prefix")
+    listed = words.select("word", lines.alias("line_no"))
+    few = F.col("n_words").between(1, MAX_LISTED)
+    if prefixes is not None:
+        placed, spans = words_and_spans(listed, prefixes)
+        index = cut_lineage(spans)
+        members = covered(placed, index.where(few))
+    else:
+        index = prefix_index(words)
+        members = _with_prefixes(listed).join(index.where(few).select("prefix"), "prefix")
     # At most ten words a prefix: all that share a longer prefix are in its group.
     lists = (
         members.groupBy("prefix")
@@ -262,3 +286,68 @@ def keyboard_suggestions(typed: DataFrame, words: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list("suggestion")).alias("suggestions"))
         .where(F.size("suggestions") <= MAX_SUGGESTED)
     )
+
+
+_BLANK = "\x00"
+
+
+def _wildcards(words: DataFrame) -> DataFrame:
+    """``(word, at, key)``: each distinct word with every two places (the only one of a word of one
+    letter) blanked, of those that have a neighbouring key."""
+    places = F.filter(
+        F.sequence(F.lit(1), F.char_length("word")),
+        lambda i: F.size(nearby_keys(F.substring(F.col("word"), i, F.lit(1)))) > 0,
+    )
+    pairs = F.flatten(
+        F.transform(places, lambda i: F.transform(F.filter(places, lambda j: j > i), lambda j: F.struct(i.alias("i"), j.alias("j"))))
+    )
+    single = F.transform(places, lambda i: F.struct(i.alias("i"), i.alias("j")))
+    word = F.col("word")
+    blanked = F.when(
+        F.col("at.i") == F.col("at.j"),
+        F.concat(F.left(word, F.col("at.i") - 1), F.lit(_BLANK), F.substring(word, F.col("at.i") + 1, F.char_length(word))),
+    ).otherwise(
+        F.concat(
+            F.left(word, F.col("at.i") - 1), F.lit(_BLANK),
+            F.substring(word, F.col("at.i") + 1, F.col("at.j") - F.col("at.i") - 1), F.lit(_BLANK),
+            F.substring(word, F.col("at.j") + 1, F.char_length(word)),
+        )
+    )
+    return (
+        words.select("word").where(F.col("word") != "").distinct()
+        .select("word", places.alias("places"), F.explode(F.when(F.size(places) < 2, single).otherwise(pairs)).alias("at"))
+        .select("word", "places", "at", blanked.alias("key"))
+    )
+
+
+def keyboard_suggestions_two(typed: DataFrame, words: DataFrame) -> DataFrame:
+    """Did-you-mean at two keys: dictionary words that differ from a typed word in one or two letters,
+    each by a neighbouring key, given only when there are 1 to 20 of them.
+
+    Both sides are blanked at two places and joined by what is left; the letters at the blanks are
+    then looked up in the neighbour table. No typed word is expanded into its variants. A key is
+    shared by at most as many words as two letters can differ."""
+    asked = _wildcards(typed)
+    known = _wildcards(words).select("key", F.col("word").alias("suggestion"), F.col("at").alias("own"))
+    letter = lambda word, place: F.substring(F.col(word), F.col(place), F.lit(1))
+    same = lambda place: letter("word", place) == letter("suggestion", place)
+    near = lambda place: F.array_contains(nearby_keys(letter("word", place)), letter("suggestion", place))
+    single = F.col("at.i") == F.col("at.j")
+    # A word that differs in one letter only is taken with the next place, or the last but one.
+    partner = lambda place: F.coalesce(
+        F.get("places", F.array_position("places", F.col(place)).cast("int")),
+        F.get("places", F.array_position("places", F.col(place)).cast("int") - 2),
+    )
+    fits = (
+        (single & near("at.i"))
+        | (~single & near("at.i") & near("at.j"))
+        | (~single & near("at.i") & same("at.j") & (partner("at.i") == F.col("at.j")))
+        | (~single & same("at.i") & near("at.j") & (partner("at.j") == F.col("at.i")))
+    )
+    # Both sides must be blanked at the same places: letters with a neighbour keep one when changed.
+    met = asked.join(known, "key").where((F.col("at") == F.col("own")) & fits)
+    return (
+        met.groupBy("word")
+        .agg(F.sort_array(F.collect_list("suggestion")).alias("suggestions"))
+        .where(F.size("suggestions") <= MAX_SUGGESTED)
+    )

@@ -14,7 +14,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslink.functions.geo import walking_minutes
+from corpuslink.functions.geo import reach_cells, walking_minutes
+from corpuslink.operators.postings import holding_all
 
 SECTION_COLUMNS = ["section_num", "day", "time_start", "time_end"]
 
@@ -94,6 +95,27 @@ def distances_from(gps: DataFrame, building: str) -> DataFrame:
     )
 
 
+def buildings_within_reach(gps: DataFrame, minutes: float, others: DataFrame | None = None) -> DataFrame:
+    """``(from_building, to_building, walking_time)`` for every row of ``gps`` and every row of another
+    building of ``others`` (by default of ``gps``) that is at most ``minutes`` away.
+
+    Points meet by an equi join on the cells of a grid as wide as the reach; the exact distance is
+    only taken there. Rows without a place reach nothing."""
+    if minutes < 0:
+        raise ValueError("minutes must not be negative")
+    own, near = reach_cells(F.col("lon"), F.col("lat"), minutes)
+    placed = lambda rows: rows.select("building_code", "lon", "lat").where("lon is not null and lat is not null")
+    a = placed(gps).select(*[F.col(c).alias(f"{c}_a") for c in ("building_code", "lon", "lat")], F.explode(near).alias("at"))
+    b = placed(gps if others is None else others).select("*", own.alias("at"))
+    met = a.select("*", "at.*").join(b.select("*", "at.*"), ["band", "cell"])
+    return (
+        met.where("building_code_a <> building_code")
+        .withColumn("walking_time", walking_minutes(F.col("lon_a"), F.col("lat_a"), F.col("lon"), F.col("lat")))
+        .where(F.col("walking_time") <= minutes)
+        .select(F.col("building_code_a").alias("from_building"), F.col("building_code").alias("to_building"), "walking_time")
+    )
+
+
 def building_location(gps: DataFrame, building: str) -> DataFrame:
     """Coordinates of one building; the smallest pair if it is listed more than once."""
     return (
@@ -177,6 +199,13 @@ def find_courses(
     return rows.select(*columns)
 
 
+def courses_by_postings(courses: DataFrame, chunks: DataFrame, terms: str) -> DataFrame:
+    """Courses that hold every distinct word of ``terms`` (split at blanks), found in posting chunks."""
+    return courses.join(holding_all(chunks, terms.split(" ")), "course_id", "left_semi").select(
+        "dept", "course_num", "title"
+    )
+
+
 def facet(table: DataFrame, column: str, skip: str | None = None) -> DataFrame:
     """Distinct values of one column, without the ``skip`` marker if one is given."""
     values = table.select(column)

@@ -41,22 +41,30 @@ def gram_counts_of_parts(
 ) -> DataFrame:
     """:func:`gram_counts` of texts held in several rows (``text_id``, ``order``, ``text``).
 
-    The k characters before a part come from the part before it, those before the first one from
-    the last. Every part but the last of a text must have at least k characters. The windows order
-    the parts of one text and move k characters of each.
+    The k characters before a part come from the parts before it, those before the first one from
+    the last; empty parts and texts shorter than k give nothing. Only the ends of the parts, k
+    characters each, go through the windows that order the parts of a text; the texts meet them by
+    an equi join. ``parts`` is read twice, so it should be a stored table.
     """
     _check_order(k)
     one = Window.partitionBy(*keys, text_id)
     run = one.orderBy(order)
-    end = F.right(F.concat(F.coalesce(F.lag(F.right("text", F.lit(k))).over(run), F.lit("")), F.col("text")), F.lit(k))
+    parts = parts.select(*keys, text_id, order, "text").where(F.char_length("text") > 0)
+    tails = parts.select(*keys, text_id, order, F.right("text", F.lit(k)).alias("_tail"), F.char_length("text").alias("_n"))
+    # Every part has a character, so k parts hold the last k of them.
+    upto = F.right(F.array_join(F.collect_list("_tail").over(run.rowsBetween(1 - k, 0)), ""), F.lit(k))
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    led = (
-        parts.where(F.char_length("text") > 0)
-        .withColumn("_end", end)
-        .withColumn("_before", F.coalesce(F.lag("_end").over(run), F.last("_end").over(whole)))
-        .withColumn("_total", F.sum(F.char_length("text")).over(one))
+    ends = (
+        tails.withColumn("_end", upto)
+        .withColumn(
+            "_before",
+            F.right(F.concat(F.last("_end").over(whole), F.coalesce(F.lag("_end").over(run), F.lit(""))), F.lit(k)),
+        )
+        .withColumn("_total", F.sum("_n").over(one))
         .where(F.col("_total") >= k)
+        .select(*keys, text_id, order, "_before")
     )
+    led = parts.join(ends, [*keys, text_id, order])
     pieces = circular_pieces(F.col("text"), k, before=F.col("_before"))
     return _counted(led.select(*keys, F.explode(pieces).alias("piece")), k, keys)
 

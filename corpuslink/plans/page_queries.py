@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpuslink.functions.html_blocks import BlockShape
 from corpuslink.functions.text import STOP_WORDS
 from corpuslink.functions.urls import is_ok_to_follow
-from corpuslink.operators import crawl, keywords, links
+from corpuslink.operators import crawl, keywords, links, postings
 from corpuslink.plans import views
 
 DOMAIN = "example.com"
@@ -106,6 +106,12 @@ def keyword_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keywords.nested_index(keyword_index(spark, sf_dir))
 
 
+def keyword_posting_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posting lists themselves, in chunks."""
+    chunks = postings.posting_chunks(keyword_index(spark, sf_dir))
+    return chunks.withColumn("deltas", F.array_join(F.col("deltas").cast("array<string>"), " "))
+
+
 def sequence_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Menu items as blocks: the first one of a page is the header of those next to it."""
     items = keywords.page_blocks(_pages(spark, sf_dir), MENU_ITEM)
@@ -184,6 +190,7 @@ QUERIES = {
     "block_words": block_words,
     "keyword_index": keyword_index,
     "keyword_postings": keyword_postings,
+    "keyword_posting_chunks": keyword_posting_chunks,
     "sequence_words": sequence_words,
     "catalog_index_built": catalog_index_built,
     "title_codes": title_codes,
@@ -299,6 +306,14 @@ SQL = {
     "keyword_index": f"WITH {_INDEX} SELECT course_id, word FROM index_rows",
     "keyword_postings": f"""WITH {_INDEX}
         SELECT word, count(*) AS n_rows, count(DISTINCT course_id) AS n_courses FROM index_rows GROUP BY word""",
+    "keyword_posting_chunks": f"""WITH {_INDEX},
+        places AS (SELECT word, course_id, (row_number() OVER (ORDER BY word, course_id) - 1) // {postings.CHUNK_IDS} AS block
+                   FROM index_rows),
+        chunks AS MATERIALIZED (
+            SELECT word, block, min(course_id) AS first_id, max(course_id) AS last_id, count(*) AS n,
+                   list(course_id ORDER BY course_id) AS ids FROM places GROUP BY word, block)
+        SELECT word, block - min(block) OVER (PARTITION BY word) AS chunk_no, first_id, last_id, n,
+               array_to_string(list_transform(ids, lambda x: x - first_id), ' ') AS deltas FROM chunks""",
     "sequence_words": f"""WITH items AS MATERIALIZED (
             SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS items FROM pages),
         blocks AS (SELECT page_id, items, unnest(range(1, len(items) + 1)) AS i FROM items),

@@ -9,8 +9,8 @@ from corpuslink.functions.text import NEARBY_KEYS, word_tokens
 from corpuslink.operators import prefix
 from corpuslink.plans import views
 from corpuslink.plans.views import with_views
-from corpuslink.session import cut_lineage
-from corpuslink.streaming import prefix_stream
+from corpuslink.session import cut_lineage, shared_folder
+from corpuslink.streaming import prefix_stream, typing
 
 
 def dictionary_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prefix_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = prefix.keystrokes(views.benchmark_words(spark, sf_dir))
-    return prefix.completions(views.words(spark, sf_dir), typed)
+    return prefix.completions(views.stored_words(spark, sf_dir), typed)
 
 
 def prefix_completions_ref_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +55,11 @@ def keyboard_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("word", F.array_join("suggestions", " ").alias("suggestions"))
 
 
+def keyboard_suggestions_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = prefix.keyboard_suggestions_two(views.spoken_words(spark, sf_dir), views.words(spark, sf_dir))
+    return found.select("word", F.array_join("suggestions", " ").alias("suggestions"))
+
+
 def prefix_stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every keystroke of the benchmark texts as a stream, looked up in the stored decisions."""
     texts = prefix_stream.stream_table(spark, f"{sf_dir}/benchmark.parquet").select("item_id", "text")
@@ -71,6 +76,20 @@ def prefix_stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.groupBy("item_id", "prefix", "n", "status").agg(F.count("*").alias("n_typed"))
 
 
+#: Characters of a piece of typed input.
+PIECE_CHARS = 32
+
+
+def typed_messages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of the conversations typed piece by piece; the message of its known words."""
+    turns = prefix_stream.stream_table(spark, f"{sf_dir}/conversations.parquet")
+    pieces = turns.select("conv_id", "turn", F.posexplode(typing.pieces_of(F.col("text"), PIECE_CHARS)).alias("seq", "chars"))
+    found = typing.typed_messages(
+        pieces, views.stored_words(spark, sf_dir), ["conv_id", "turn"], shared_folder(spark, "typing")
+    )
+    return found.select("conv_id", "turn", "message", "n_unknown")
+
+
 QUERIES = {
     "dictionary_words": dictionary_words,
     "prefix_counts": prefix_counts,
@@ -80,7 +99,9 @@ QUERIES = {
     "word_membership": word_membership,
     "accepted_message": accepted_message,
     "keyboard_suggestions": keyboard_suggestions,
+    "keyboard_suggestions_two": keyboard_suggestions_two,
     "prefix_stream_lookup": prefix_stream_lookup,
+    "typed_messages_stream": typed_messages_stream,
 }
 
 # tree order of the words below a prefix, told by the first line of every longer prefix
@@ -103,6 +124,17 @@ _KEYS = ", ".join(
     f"('{key}', '{neighbour}')" for key, row in NEARBY_KEYS.items() for neighbour in row
 )
 
+_MESSAGES = with_views(
+    ("words",),
+    """SELECT t.conv_id, t.turn, coalesce(string_agg(w.word, ' ' ORDER BY t.pos), '') AS message,
+              count(t.token) - count(w.word) AS n_unknown
+       FROM tokens t LEFT JOIN words w ON t.token = w.word GROUP BY t.conv_id, t.turn""",
+    """found AS (SELECT conv_id, turn, regexp_extract_all(text, '[a-zA-Z][a-zA-Z0-9]*') AS toks
+                 FROM conversations),
+       spread AS (SELECT conv_id, turn, toks, unnest(range(1, greatest(len(toks), 1) + 1)) AS pos FROM found),
+       tokens AS (SELECT conv_id, turn, pos, toks[pos] AS token FROM spread)""",
+)
+
 SQL = {
     "prefix_stream_lookup": with_views(
         ("word_prefixes",),
@@ -146,16 +178,8 @@ SQL = {
         ("words", "spoken_words"),
         "SELECT word, word IN (SELECT word FROM words) AS is_word FROM spoken_words",
     ),
-    "accepted_message": with_views(
-        ("words",),
-        """SELECT t.conv_id, t.turn, coalesce(string_agg(w.word, ' ' ORDER BY t.pos), '') AS message,
-                  count(t.token) - count(w.word) AS n_unknown
-           FROM tokens t LEFT JOIN words w ON t.token = w.word GROUP BY t.conv_id, t.turn""",
-        """found AS (SELECT conv_id, turn, regexp_extract_all(text, '[a-zA-Z][a-zA-Z0-9]*') AS toks
-                     FROM conversations),
-           spread AS (SELECT conv_id, turn, toks, unnest(range(1, greatest(len(toks), 1) + 1)) AS pos FROM found),
-           tokens AS (SELECT conv_id, turn, pos, toks[pos] AS token FROM spread)""",
-    ),
+    "accepted_message": _MESSAGES,
+    "typed_messages_stream": _MESSAGES,
     "keyboard_suggestions": with_views(
         ("words", "spoken_words"),
         """SELECT word, string_agg(suggestion, ' ' ORDER BY suggestion) AS suggestions
@@ -166,4 +190,19 @@ SQL = {
             variants AS (SELECT word, substr(word, 1, i - 1) || neighbour || substr(word, i + 1) AS suggestion
                          FROM letters JOIN nearby ON substr(word, i, 1) = letter)""",
     ),
+    "keyboard_suggestions_two": with_views(
+        ("words", "spoken_words"),
+        """SELECT word, string_agg(suggestion, ' ' ORDER BY suggestion) AS suggestions
+           FROM (SELECT word, suggestion FROM apart GROUP BY word, suggestion
+                 HAVING count(*) BETWEEN 1 AND 2 AND count(*) = count(letter))
+           GROUP BY word HAVING count(*) <= 20""",
+        f"""nearby(letter, neighbour) AS (VALUES {_KEYS}),
+            close AS MATERIALIZED (
+                SELECT t.word, w.word AS suggestion FROM spoken_words t JOIN words w
+                ON length(t.word) = length(w.word) AND t.word <> w.word AND hamming(t.word, w.word) <= 2),
+            places AS (SELECT word, suggestion, unnest(range(1, length(word) + 1)) AS i FROM close),
+            apart AS (SELECT p.word, p.suggestion, n.letter FROM places p
+                      LEFT JOIN nearby n ON n.letter = substr(p.word, i, 1) AND n.neighbour = substr(p.suggestion, i, 1)
+                      WHERE substr(p.word, i, 1) <> substr(p.suggestion, i, 1))""",
+    ),
 }

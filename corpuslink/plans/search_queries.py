@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslink.operators import search
+from corpuslink.operators import postings, search
 from corpuslink.plans import views
 from corpuslink.plans.views import with_views
 
@@ -20,6 +20,7 @@ BOTH_TERMS = {
     "terms": "red widget",
 }
 NEARBY = {"building": ORIGIN, "walking_time": 20, "time_start": 900}
+REACH = 5
 MIDDLE_SIZE = {"enroll_lower": 10, "enroll_upper": 30}
 
 
@@ -40,11 +41,23 @@ def course_search_paired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.find_courses(tables, {"terms": "red widget", "time_start": 815})
 
 
+def course_search_by_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All distinct terms, by intersecting the chunks of their posting lists."""
+    chunks = postings.posting_chunks(views.catalog_index(spark, sf_dir))
+    return search.courses_by_postings(views.courses(spark, sf_dir), chunks, "widget red red")
+
+
 def building_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = search.distances_from(views.gps(spark, sf_dir), ORIGIN)
     return near.withColumn("walking_time", F.round("walking_time", 6))
 
 
+def buildings_within_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every building with all others at most five minutes away."""
+    near = search.buildings_within_reach(views.gps(spark, sf_dir), REACH)
+    return near.withColumn("walking_time", F.round("walking_time", 6))
+
+
 def building_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.building_location(views.gps(spark, sf_dir), ORIGIN)
 
@@ -67,11 +80,13 @@ QUERIES = {
     "course_search_paired": course_search_paired,
     "course_search_terms_only": _find({"terms": "red widget"}),
     "course_search_terms_division": _find({"terms": "widget red red"}, "division"),
+    "course_search_by_postings": course_search_by_postings,
     "course_search_single_term": _find({"terms": "widget"}),
     "course_search_dept": _find({"dept": "Brand#2"}),
     "course_search_walking": _find(NEARBY),
     "course_search_enrollment": _find(MIDDLE_SIZE),
     "building_distances": building_distances,
+    "buildings_within_reach": buildings_within_reach,
     "building_location": building_location,
     "facet_depts": facet_depts,
     "facet_days": facet_days,
@@ -86,6 +101,10 @@ _MINUTES = """2 * asin(sqrt(pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2)
     * 6367 * 1000 / (1.1 * 60)"""
 _BASIC = ("courses", "sections", "meeting_patterns")
 
+_DIVISION = """SELECT c.dept, c.course_num, c.title FROM courses c WHERE c.course_id IN (
+             SELECT course_id FROM catalog_index WHERE word IN ('red', 'widget')
+             GROUP BY course_id HAVING count(DISTINCT word) = 2)"""
+
 SQL = {
     "course_search_time_day": with_views(
         _BASIC,
@@ -119,12 +138,8 @@ SQL = {
            FROM courses c JOIN catalog_index i ON c.course_id = i.course_id
            WHERE i.word = 'red' OR i.word = 'widget' GROUP BY i.course_id HAVING count(*) = 2""",
     ),
-    "course_search_terms_division": with_views(
-        ("courses", "catalog_index"),
-        """SELECT c.dept, c.course_num, c.title FROM courses c WHERE c.course_id IN (
-             SELECT course_id FROM catalog_index WHERE word IN ('red', 'widget')
-             GROUP BY course_id HAVING count(DISTINCT word) = 2)""",
-    ),
+    "course_search_terms_division": with_views(("courses", "catalog_index"), _DIVISION),
+    "course_search_by_postings": with_views(("courses", "catalog_index"), _DIVISION),
     "course_search_single_term": with_views(
         ("courses", "catalog_index"),
         """SELECT c.dept, c.course_num, c.title FROM courses c
@@ -150,6 +165,11 @@ SQL = {
         f"""SELECT b.building_code, round({_MINUTES}, 6) AS walking_time
             FROM gps a, gps b WHERE a.building_code = '{ORIGIN}'""",
     ),
+    "buildings_within_reach": with_views(
+        ("gps",),
+        f"""SELECT a.building_code AS from_building, b.building_code AS to_building, round({_MINUTES}, 6) AS walking_time
+            FROM gps a, gps b WHERE a.building_code <> b.building_code AND {_MINUTES} <= {REACH}""",
+    ),
     "building_location": with_views(
         ("gps",), f"SELECT lon, lat FROM gps WHERE building_code = '{ORIGIN}' ORDER BY lon, lat LIMIT 1"
     ),

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from corpuslink.operators import textmodel
 from corpuslink.plans import views
+from corpuslink.session import cut_lineage, shared_folder
+from corpuslink.sources import textfiles
+from corpuslink.streaming import modelstore
 
 ORDER = 2
 LANGS = ("de", "en", "es", "fr")
@@ -39,6 +42,34 @@ def char_gram_counts_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textmodel.gram_counts_of_parts(parts.withColumnRenamed("part", "text"), ORDER)
 
 
+#: Conversations whose turns make up one file.
+FILE_CONVERSATIONS = 500
+
+
+def gram_counts_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of a role as lines of files, read back in parts and counted over each file as a ring."""
+    folder = shared_folder(spark, "turn-files")
+    turns = views.table(spark, sf_dir, "conversations").select(
+        "role", F.floor(F.col("conv_id") / FILE_CONVERSATIONS).alias("file"), "conv_id", "turn", F.col("text").alias("value")
+    )
+    (
+        turns.repartition("role", "file").sortWithinPartitions("role", "file", "conv_id", "turn")
+        .select("role", "file", "value").write.partitionBy("role", "file").text(folder)
+    )
+    parts = textfiles.read_text_parts(spark, {role: f"{folder}/role={role}/*/*.txt" for role in ROLES})
+    return textmodel.gram_counts_of_parts(cut_lineage(parts), ORDER)
+
+
+def language_model_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by role that grew with a stream of turns, a few files at a time."""
+    folder = shared_folder(spark, "turns")
+    views.table(spark, sf_dir, "conversations").select(F.col("role").alias("label"), "text").repartition(6).write.parquet(folder)
+    turns = spark.readStream.schema("label string, text string").option("maxFilesPerTrigger", 2).parquet(folder)
+    store = modelstore.ModelStore(spark, shared_folder(spark, "model"), ORDER)
+    store.follow(turns)
+    return store.gram_counts()
+
+
 def char_context_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textmodel.context_counts(char_gram_counts(spark, sf_dir), ORDER)
 
@@ -69,6 +100,8 @@ def role_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "char_gram_counts": char_gram_counts,
     "char_gram_counts_of_parts": char_gram_counts_of_parts,
+    "gram_counts_of_files": gram_counts_of_files,
+    "language_model_grown": language_model_grown,
     "char_context_counts": char_context_counts,
     "alphabet_size": alphabet_size,
     "language_scores": language_scores,
@@ -126,6 +159,13 @@ _DOC_TEXTS = ("doc_id", "documents")
 SQL = {
     "char_gram_counts": _sql(_ROLE_MODEL, None, (), "SELECT key AS label, gram, n FROM model"),
     "char_gram_counts_of_parts": _sql(_ROLE_MODEL, None, (), "SELECT key AS label, gram, n FROM model"),
+    "gram_counts_of_files": _sql(
+        ("role", "files"), None, (), "SELECT key AS label, gram, n FROM model"
+    ).replace("WITH ", f"""WITH files AS MATERIALIZED (
+        SELECT role, regexp_replace(string_agg(coalesce(text, '') || chr(10), '' ORDER BY conv_id, turn),
+                                    chr(13) || chr(10) || '?', chr(10), 'g') AS text
+        FROM conversations WHERE role IN {ROLES} GROUP BY role, conv_id // {FILE_CONVERSATIONS}), """, 1),
+    "language_model_grown": _sql(_ROLE_MODEL, None, (), "SELECT key AS label, gram, n FROM model"),
     "char_context_counts": _sql(_ROLE_MODEL, None, (), "SELECT key AS label, context, n FROM model_ctx"),
     "alphabet_size": _sql(_ROLE_MODEL, None, (), "SELECT key AS label, n_chars FROM model_abc"),
     "language_scores": _sql(

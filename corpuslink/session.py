@@ -65,6 +65,18 @@ def discard(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def list_folders(spark: SparkSession, folder: str, done: bool = False) -> list[str]:
+    """Names of the folders in ``folder`` (none if it is not there), only those a Spark write has
+    marked as complete if ``done``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    found = [s.getPath() for s in files.listStatus(path) if s.isDirectory()]
+    marked = lambda p: files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+    return [p.getName() for p in found if not done or marked(p)]
+
+
 BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
