@@ -7,9 +7,10 @@ times one common factor over its tokens and at most 1; the factor is calibrated
 expected tokens are ``keep_share`` of all where cells allow it. Whether a document stays depends on
 a hash of its id and the seed, so every run and every task decides alike.
 
-A target is a map of shares (a category of the data that it lacks gets none, one the data lack is
-left out), or an exponent on the observed shares: below 1 it flattens them. Cells are aggregated and
-joined as tables; only sums of them reach the driver.
+A target is a map of shares, or an exponent on the observed shares: below 1 it flattens them. In a map,
+``"*"`` is the share of all categories it does not name (null ones among them), dealt to them as
+they are observed; without it they get none. What the data lack is left out, and the rest is scaled
+up. Cells are aggregated and joined as tables; only sums of them reach the driver.
 
 Null categories count as ``unknown``; a null or empty text has no tokens and shares its cell's
 fate. Repeated rows are decided alike. Other columns are kept by ``sampled`` and not read by
@@ -59,7 +60,13 @@ def raked(cells: DataFrame, targets: dict[str, dict[str, float] | float], rounds
     for dim, target in targets.items():
         sums = cells.groupBy(dim).agg(F.sum("tokens").cast("double").alias("_sum"))
         if isinstance(target, dict):
-            share = F.coalesce(F.create_map(*(F.lit(x) for pair in target.items() for x in pair))[F.col(dim)], F.lit(0.0))
+            named = {name: float(part) for name, part in target.items() if name != "*"}
+            others = ~F.col(dim).isin(list(named))
+            rest = sums.where(others & (F.col("_sum") > 0)).agg(F.sum("_sum")).first()[0] or 1.0
+            share = F.when(others, F.lit(float(target.get("*", 0.0))) * F.col("_sum") / rest)
+            for name, part in named.items():
+                share = share.when(F.col(dim) == name, part)
+            share = share.otherwise(0.0)
         else:
             share = F.when(F.col("_sum") > 0, F.pow("_sum", F.lit(float(target)))).otherwise(0.0)
         shares = cut_lineage(sums.select(dim, F.when(F.col("_sum") > 0, share).otherwise(0.0).alias("_share")))

@@ -69,11 +69,19 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = resharding.reshard_documents(_documents(spark, sf_dir), old_shards=12, new_shards=16)
-    return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), "old_shard",
+    """Twelve shards written as files, changed to sixteen; all columns come from the files."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    layout = resharding.Layout(spark, shared_folder(spark, "shards"))
+    layout.write(docs, 12)
+    layout.reshard(docs.schema, 16)
+    text = F.coalesce("text", F.lit(""))
+    rows = layout.read(docs.schema).select(
+        "row_key", "doc_id", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
     )
+    return rows.join(layout.slots().drop("shard"), "row_key").select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,8 +109,9 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
 
 
-#: Sources and topics a little flatter than they are, languages as named; half of all words.
-MIX_TARGETS = {"source": 0.7, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}, "topic": 0.8}
+#: Sources and topics a little flatter than they are, languages as named, a twentieth for all others;
+#: half of all words.
+MIX_TARGETS = {"source": 0.7, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15, "*": 0.05}, "topic": 0.8}
 MIX_KEEP = 0.5
 
 URL_RULES = [
@@ -119,8 +128,11 @@ def _mixing_sql() -> str:
     shares = {}
     for dim, target in MIX_TARGETS.items():
         if isinstance(target, dict):
-            cases = " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in target.items())
-            shares[dim] = f"CASE WHEN s > 0 THEN CASE {dim} {cases} ELSE 0.0 END ELSE 0.0 END"
+            named = {k: v for k, v in target.items() if k != "*"}
+            cases = " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in named.items())
+            others = f"sum(CASE WHEN {dim} IN {tuple(named)} THEN 0.0 ELSE s END) OVER ()"
+            rest = f"CAST({target.get('*', 0.0)!r} AS DOUBLE) * s / {others}"
+            shares[dim] = f"CASE WHEN s > 0 THEN CASE {dim} {cases} ELSE {rest} END ELSE 0.0 END"
         else:
             shares[dim] = f"CASE WHEN s > 0 THEN pow(s, {target!r}) ELSE 0.0 END"
     tables = [

@@ -7,9 +7,17 @@ says how much each shard sends where, and blocks are picked to follow it. A bloc
 shard may hold is dealt out by its parts (split by ``doc_id``). Rows are numbered within parts, so
 no task numbers a whole shard.
 
+A :class:`Layout` keeps shards as files. Every row has a key of its own, told when it is first
+written, so null and repeated ids are rows like others. Resharding writes the shards that lose or
+gain rows anew, without moving a text through a shuffle, then a list that says for each shard which
+files are live; a shard that loses all its rows is no longer listed. Until that list is complete the
+old one holds, so a run cut off half-way changes nothing. Files that are live in no list any more are
+then removed.
+
 The size of a document is the UTF-8 length of its text plus one; a null text counts as none, its
-checksum is that of the empty text. Repeated rows each get a place. Columns other than ``doc_id``
-and ``text`` are not read. An empty table gives no rows.
+checksum is that of the empty text. Repeated rows each get a place. Placing reads ``doc_id`` and
+``text`` alone; files keep all columns (``row_key`` and ``shard`` must not be among them). An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,10 +25,11 @@ from __future__ import annotations
 import heapq
 from collections import defaultdict, deque
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpuslink.session import cut_lineage
+from corpuslink.session import cut_lineage, discard, list_folders
 
 BLOCKS = 128
 PARTS = 16
@@ -114,16 +123,20 @@ def document_sizes(docs: DataFrame, old_shards: int) -> DataFrame:
     )
 
 
-def reshard(sized: DataFrame, old_shards: int, new_shards: int) -> DataFrame:
-    """``sized`` (``doc_id``, ``size``, ``old_shard``, ``block``) with ``shard`` and ``slot``. It is
-    read twice, so it should be a stored table. Shards numbered alike are the same place."""
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int")
-    sized = sized.withColumn("part", part)
-    unit = ["old_shard", "block", "part"]
-    # At most old_shards * BLOCKS * PARTS rows.
+def _unit_columns() -> list[Column]:
+    return [F.col("old_shard"), F.col("block"), F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int").alias("part")]
+
+
+UNIT = ["old_shard", "block", "part"]
+
+
+def plan_units(sized: DataFrame, old_shards: int, new_shards: int) -> list[tuple[int, int, int, int, int, int]]:
+    """``(old_shard, block, part, shard, first_slot, n)`` of every unit of rows when ``old_shards``
+    become ``new_shards``. ``sized`` has ``doc_id``, ``size``, ``old_shard`` and ``block``. Shards
+    numbered alike are the same place. At most ``old_shards * BLOCKS * PARTS`` rows."""
     units = [
         (tuple(r[:3]), r[3], r[4])
-        for r in sized.groupBy(*unit).agg(F.sum("size"), F.count("*")).orderBy(*unit).collect()
+        for r in sized.select("size", *_unit_columns()).groupBy(*UNIT).agg(F.sum("size"), F.count("*")).orderBy(*UNIT).collect()
     ]
     total = sum(size for _, size, _ in units)
     capacities = [total // new_shards + (j < total % new_shards) for j in range(new_shards)]
@@ -141,35 +154,163 @@ def reshard(sized: DataFrame, old_shards: int, new_shards: int) -> DataFrame:
     filled, places = [0] * new_shards, []
     for u, _, n in units:
         shard = where[u[:2]] if u[:2] in where else where[u]
-        places.append((*u, shard, filled[shard]))
+        places.append((*u, shard, filled[shard], n))
         filled[shard] += n
+    return places
+
+
+def _placed(sized: DataFrame, places: list[tuple], order: list[str]) -> DataFrame:
+    """``sized`` with ``shard`` and ``slot``: rows are numbered in their unit."""
     spark = sized.sparkSession
-    places = spark.createDataFrame(places, "old_shard int, block int, part int, shard int, first_slot long")
-    numbered = Window.partitionBy(*unit).orderBy("doc_id")
     # As many places as units: bounded by the three parameters, so every task may have them all.
+    table = spark.createDataFrame(
+        [p[:5] for p in places], "old_shard int, block int, part int, shard int, first_slot long"
+    )
+    numbered = Window.partitionBy(*UNIT).orderBy(*order)
     return (
-        sized.withColumn("_n", F.row_number().over(numbered) - 1)
-        .join(F.broadcast(places), unit)
+        sized.withColumn("part", _unit_columns()[2])
+        .withColumn("_n", F.row_number().over(numbered) - 1)
+        .join(F.broadcast(table), UNIT)
         .withColumn("slot", F.col("first_slot") + F.col("_n"))
         .drop("_n", "first_slot", "part")
     )
 
 
+def reshard(sized: DataFrame, old_shards: int, new_shards: int) -> DataFrame:
+    """``sized`` (``doc_id``, ``size``, ``old_shard``, ``block``) with ``shard`` and ``slot``. It is
+    read twice, so it should be a stored table."""
+    return _placed(sized, plan_units(sized, old_shards, new_shards), ["doc_id"])
+
+
 def reshard_documents(docs: DataFrame, old_shards: int, new_shards: int) -> DataFrame:
     """Shard and slot of every document when ``old_shards`` become ``new_shards``."""
     return reshard(cut_lineage(document_sizes(docs, old_shards)), old_shards, new_shards)
 
 
-def rewrite_affected(docs: DataFrame, placed: DataFrame, folder: str, key: str = "doc_id") -> list[int]:
-    """Write the shards whose rows change (``folder``/shard=N) and return their numbers; files of
-    all other shards stay untouched. ``docs`` must not be read from ``folder``; ``key`` must be
-    unique. Columns ``shard`` and ``slot`` of ``docs`` are replaced."""
-    moved = placed.where("old_shard <> shard")
-    both = moved.select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
-    affected = sorted(r[0] for r in both.collect())  # at most one row per shard
-    rows = docs.drop("shard", "slot").join(placed.where(F.col("shard").isin(affected)).select(key, "shard", "slot"), key)
-    salt: Column = F.pmod(F.col("slot"), F.lit(8))
-    rows.repartition("shard", salt).sortWithinPartitions("shard", "slot").write.option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("shard").mode("overwrite").parquet(folder)
-    return affected
+class Layout:
+    """Shards of documents as files below ``folder``.
+
+    ``files=V/shard=N`` holds rows, ``slots=V`` their shard and slot by ``row_key``, and ``live=V`` the
+    list: for every shard the version of its files. The newest complete list counts."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def _versions(self, kind: str) -> list[int]:
+        names = list_folders(self.spark, self.folder, done=True)
+        return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{kind}="))
+
+    def live(self) -> dict[int, int]:
+        """Version of the files of every shard."""
+        version = max(self._versions("live"), default=None)
+        if version is None:
+            return {}
+        found = self.spark.read.schema("shard int, version int").parquet(f"{self.folder}/live={version}")
+        return {r[0]: r[1] for r in found.collect()}  # a row per shard
+
+    def _commit(self, version: int, live: dict[int, int]) -> None:
+        table = self.spark.createDataFrame(sorted(live.items()), "shard int, version int")
+        table.coalesce(1).write.parquet(f"{self.folder}/live={version}")
+        for old in self._versions("live"):
+            if old < version:
+                discard(self.spark, f"{self.folder}/live={old}")
+                discard(self.spark, f"{self.folder}/slots={old}")
+        for old in self._versions("files"):
+            for shard in list_folders(self.spark, f"{self.folder}/files={old}"):
+                if live.get(int(shard.partition("=")[2])) != old:
+                    discard(self.spark, f"{self.folder}/files={old}/{shard}")
+            if old not in live.values():
+                discard(self.spark, f"{self.folder}/files={old}")
+
+    def write(self, docs: DataFrame, shards: int) -> None:
+        """A first layout: every row in the shard of its text's hash."""
+        version = max(self._versions("live"), default=-1) + 1
+        rows = docs.withColumn("row_key", F.monotonically_increasing_id())
+        rows = rows.withColumn("shard", F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(shards)).cast("int"))
+        path = f"{self.folder}/files={version}"
+        rows.write.mode("overwrite").partitionBy("shard").parquet(path)
+        held = self.spark.read.schema(_with_shard(docs.schema)).parquet(path)
+        sized = cut_lineage(self._sized(held))
+        places = [(*u[:3], u[0], first, n) for u, first, n in _own_places(sized)]
+        slots = _placed(sized, places, ["doc_id", "row_key"]).select("row_key", "shard", "slot")
+        slots.write.mode("overwrite").parquet(f"{self.folder}/slots={version}")
+        self._commit(version, {p[3]: version for p in places})
+
+    @staticmethod
+    def _sized(rows: DataFrame) -> DataFrame:
+        text = F.coalesce("text", F.lit(""))
+        return rows.select(
+            "row_key",
+            F.col("doc_id").cast("long").alias("doc_id"),
+            (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
+            F.col("shard").alias("old_shard"),
+            F.pmod(F.xxhash64(F.xxhash64(text)), F.lit(BLOCKS)).cast("int").alias("block"),
+        )
+
+    def _files(self, schema: T.StructType, shards: list[int] | None = None) -> DataFrame:
+        """Rows of the live files (of some shards)."""
+        found = None
+        live = {s: v for s, v in self.live().items() if shards is None or s in shards}
+        for version in sorted(set(live.values())):
+            part = self.spark.read.schema(schema).parquet(f"{self.folder}/files={version}")
+            part = part.where(F.col("shard").isin([s for s, v in live.items() if v == version]))
+            found = part if found is None else found.unionByName(part)
+        return self.spark.createDataFrame([], schema) if found is None else found
+
+    def read(self, schema: T.StructType) -> DataFrame:
+        """All rows (``schema``, without the layout's own columns) with ``row_key`` and ``shard``."""
+        return self._files(_with_shard(schema))
+
+    def slots(self) -> DataFrame:
+        """``(row_key, shard, slot)`` of all rows."""
+        version = max(self._versions("live"), default=None)
+        schema = "row_key bigint, shard int, slot bigint"
+        if version is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/slots={version}")
+
+    def reshard(self, schema: T.StructType, new_shards: int) -> list[int]:
+        """Change to ``new_shards`` shards and return the numbers of those written anew or emptied."""
+        live = self.live()
+        old_shards = max(live, default=-1) + 1
+        if not live:
+            return []
+        version = max(self._versions("live")) + 1
+        sized = cut_lineage(self._sized(self.read(schema)))
+        places = plan_units(sized, max(old_shards, 1), new_shards)
+        moving = [p for p in places if p[0] != p[3]]
+        affected = sorted({s for p in moving for s in (p[0], p[3])})
+        # The rows of affected shards; their unit tells where they go, so no text is shuffled.
+        table = self.spark.createDataFrame([p[:4] for p in places], "old_shard int, block int, part int, new_shard int")
+        rows = self._files(_with_shard(schema), affected)
+        text = F.coalesce("text", F.lit(""))
+        unit = [
+            F.col("shard").alias("old_shard"),
+            F.pmod(F.xxhash64(F.xxhash64(text)), F.lit(BLOCKS)).cast("int").alias("block"),
+            F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(PARTS)).cast("int").alias("part"),
+        ]
+        names = [*schema.names, "row_key"]
+        moved = rows.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), *unit).join(F.broadcast(table), UNIT)
+        kept = [F.col("_row")[c].alias(c) for c in names]
+        moved.select(*kept, F.col("new_shard").alias("shard")).write.mode("overwrite").partitionBy("shard").parquet(
+            f"{self.folder}/files={version}"
+        )
+        slots = _placed(sized, places, ["doc_id", "row_key"]).select("row_key", "shard", "slot")
+        slots.write.mode("overwrite").parquet(f"{self.folder}/slots={version}")
+        filled = {p[3] for p in places}
+        self._commit(version, {s: version if s in affected else live[s] for s in filled})
+        return affected
+
+
+def _with_shard(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("row_key", T.LongType()), T.StructField("shard", T.IntegerType())])
+
+
+def _own_places(sized: DataFrame) -> list[tuple[tuple, int, int]]:
+    """Units in order with their first slot when every row stays in its shard, and their rows."""
+    filled: dict[int, int] = defaultdict(int)
+    out = []
+    for r in sized.select(*_unit_columns()).groupBy(*UNIT).count().orderBy(*UNIT).collect():
+        out.append((tuple(r[:3]), filled[r[0]], r[3]))
+        filled[r[0]] += r[3]
+    return out

@@ -230,3 +230,18 @@ def test_mixing_with_nulls_and_nothing(spark):
     got = mixing.rates(spark.createDataFrame(rows, schema), {"source": 0.5, "lang": {"en": 1.0}, "topic": 1.0}, 0.9)
     assert got.count() == 5
     assert mixing.rates(spark.createDataFrame([], schema), {"source": 0.5, "lang": 1.0, "topic": 1.0}, 0.5).count() == 0
+
+
+def test_unnamed_and_null_languages_are_sampled(spark):
+    rows = [(i, t, {0: None, 1: "it", 2: "pt"}.get(i % 6, lang), s) for i, t, lang, s in _mix_rows()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    targets = {"source": 0.7, "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "*": 0.1}, "topic": 0.8}
+    cells = mixing.described(docs).groupBy("_source", "_lang", "_topic").sum("_n_words").toDF("source", "lang", "topic", "tokens")
+    got = mixing.raked(cells, targets, rounds=25).toPandas()
+    weight, tokens = got.groupby("lang").weight.sum(), got.groupby("lang").tokens.sum()
+    assert np.allclose([weight["en"], weight["de"]], [0.5, 0.2], atol=1e-6)
+    others = ["unknown", "it", "pt"]
+    assert np.allclose([weight[x] for x in others], [0.1 * tokens[x] / tokens[others].sum() for x in others], atol=1e-6)
+    rates = mixing.rates(docs, targets, 0.3).toPandas()
+    assert set(rates[rates.kept].lang) == {"en", "de", "fr", *others}
+    assert set(rates[~rates.kept].lang) == {"en", "de", "fr", *others}

@@ -155,13 +155,76 @@ def test_equal_texts_share_a_shard_while_they_fit(frame):
     assert len({(r.shard, rows[r.doc_id][1]) for r in got}) == 40
 
 
-def test_rewrite_touches_affected_shards_only(spark, frame):
-    rows = [(i, "w" * (i % 90)) for i in range(500)]
+def _held(layout, docs):
+    """Rows of the files, with their slots checked to be gapless, and sizes by shard."""
+    rows = layout.read(docs.schema).join(layout.slots().withColumnRenamed("shard", "said"), "row_key").collect()
+    assert all(r.shard == r.said for r in rows)
+    for j in {r.shard for r in rows}:
+        assert sorted(r.slot for r in rows if r.shard == j) == list(range(sum(r.shard == j for r in rows)))
+    load = {}
+    for r in rows:
+        load[r.shard] = load.get(r.shard, 0) + len((r.text or "").encode()) + 1
+    return sorted(((r.doc_id, r.text) for r in rows), key=repr), load
+
+
+@pytest.mark.parametrize("old,new", [(5, 4), (4, 5), (3, 8), (6, 1), (1, 3), (4, 4)])
+def test_layouts_keep_every_row(spark, frame, old, new):
+    rng = random.Random(old * 10 + new)
+    rows = [(i, "w" * rng.randint(0, 90) + str(i)) for i in range(400)]
+    rows += [(None, "no id"), (None, "no id"), (None, None), (7, "again"), (7, "again"), (8, None), (9, "")]
+    docs = frame(rows).drop("shard", "slot")
+    folder = shared_folder(spark, "layout")
+    layout = resharding.Layout(spark, folder)
+    layout.write(docs.repartition(3), old)
+    assert _held(layout, docs)[0] == sorted(rows, key=repr)
+    layout.reshard(docs.schema, new)
+    held, load = _held(layout, docs)
+    assert held == sorted(rows, key=repr) and set(load) == set(range(new))
+    assert max(load.values()) - min(load.values()) <= 0.2 * sum(load.values()) / new
+    # Nothing but live files is left.
+    names = resharding.list_folders(spark, folder)
+    live = layout.live()
+    assert sorted(n for n in names if n.startswith("live")) == [f"live={max(layout._versions('live'))}"]
+    for version in set(live.values()):
+        assert {int(n[6:]) for n in resharding.list_folders(spark, f"{folder}/files={version}")} == {s for s, v in live.items() if v == version}
+
+
+def test_unaffected_shards_keep_their_files(spark, frame):
+    """From one shard more than needed back: shards whose rows stay are neither read nor written."""
+    docs = frame([(i, "t" * 50 + str(i % 7)) for i in range(64)], extra=False)
+    layout = resharding.Layout(spark, shared_folder(spark, "layout"))
+    layout.write(docs, 3)
+    before, slots = layout.live(), {r.row_key: r.slot for r in layout.slots().collect()}
+    affected = layout.reshard(docs.schema, 3)
+    after = layout.live()
+    assert {s for s in after if after[s] != before.get(s)} <= set(affected)
+    for r in layout.slots().collect():
+        if r.shard not in affected:
+            assert slots[r.row_key] == r.slot
+
+
+def test_a_resharding_cut_off_changes_nothing(spark, frame, monkeypatch):
+    rows = [(i, f"text {i}") for i in range(200)]
     docs = frame(rows, extra=False)
-    placed = resharding.reshard_documents(docs, 4, 5)
-    folder = shared_folder(spark, "shards")
-    docs.join(placed.selectExpr("doc_id", "old_shard AS shard", "slot"), "doc_id").write.partitionBy("shard").parquet(folder)
-    affected = resharding.rewrite_affected(docs, placed, folder)
-    now = {r.doc_id: r.shard for r in spark.read.parquet(folder).collect()}
-    assert now == {r.doc_id: r.shard for r in placed.collect()}
-    assert 4 in affected
+    layout = resharding.Layout(spark, shared_folder(spark, "layout"))
+    layout.write(docs, 5)
+
+    def stop(*_):
+        raise RuntimeError("cut off")
+
+    with monkeypatch.context() as m:
+        m.setattr(resharding.Layout, "_commit", stop)
+        with pytest.raises(RuntimeError):
+            layout.reshard(docs.schema, 4)
+    held, load = _held(layout, docs)
+    assert held == sorted(rows, key=repr) and len(load) == 5
+    layout.reshard(docs.schema, 4)  # again
+    held, load = _held(layout, docs)
+    assert held == sorted(rows, key=repr) and len(load) == 4
+
+
+def test_layouts_of_nothing(spark, frame):
+    docs = frame([], extra=False)
+    layout = resharding.Layout(spark, shared_folder(spark, "layout"))
+    layout.write(docs, 5)
+    assert layout.reshard(docs.schema, 4) == [] and layout.read(docs.schema).count() == 0
