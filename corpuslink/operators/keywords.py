@@ -2,48 +2,34 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslink.functions.html_blocks import BlockShape, blocks_of
+from corpuslink.functions.html_blocks import BlockShape
+from corpuslink.functions.html_events import blocks, events, text_between
 from corpuslink.functions.text import course_code, index_words
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-BLOCK_SCHEMA = (
-    "page_id bigint, block_no int, class string, title string, desc string, "
-    "prev_adjacent boolean, prev_blank boolean"
-)
 MAIN_CLASS = "courseblock main"
 SUB_CLASS = "courseblock subsequence"
 
 
 def page_blocks(pages: DataFrame, shape: BlockShape = BlockShape(), marker: str | None = None) -> DataFrame:
-    """Blocks of every page, ``block_no`` in document order.
+    """Blocks of every page, ``block_no`` in document order, read without leaving the JVM.
 
-    Python sees only the pages whose text contains ``marker`` (part of a class name), if given;
-    that filter runs in the scan stage.
-    """
+    Pages whose text lacks ``marker`` (part of a class name), if given, are left out in the scan."""
     source = pages.select("page_id", "html")
     if marker is not None:
         source = source.where(F.col("html").contains(marker))
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["page_id", "block_no", "class", "title", "desc", "prev_adjacent", "prev_blank"]
-        for batch in batches:
-            rows = [
-                (page_id, no, b["class"], b["title"], b["desc"], b["prev_adjacent"], b["prev_blank"])
-                for page_id, html in zip(batch["page_id"], batch["html"])
-                for no, b in enumerate(blocks_of(html or "", shape))
-            ]
-            yield pd.DataFrame(rows, columns=columns)
-
-    return source.mapInPandas(read, BLOCK_SCHEMA)
+    found = (
+        source.select("page_id", events(F.col("html"), shape).alias("events"))
+        .withColumn("found", blocks(F.col("events"), shape))
+        .select("page_id", "events", F.posexplode("found").alias("block_no", "block"))
+    )
+    part = lambda first, last: text_between(F.col("events"), F.col(f"block.{first}"), F.col(f"block.{last}"))
+    return found.select(
+        "page_id", "block_no", F.col("block.class").alias("class"), part("t0", "t1").alias("title"),
+        part("d0", "d1").alias("desc"), F.col("block.adjacent").alias("prev_adjacent"), F.col("block.blank").alias("prev_blank"),
+    )
 
 
 def block_words(blocks: DataFrame, lower_first: bool = False) -> DataFrame:

@@ -3,48 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuslink.functions.markup import ATTRIBUTE, INSIDE, VALUE, unescape
 from corpuslink.functions.urls import is_ok_to_follow, process_link
 
-_VALUE = r"""(?:'[^']*+'|"[^"]*+"|(?!['"])[^>\s]*+)"""
-_ATTRIBUTE = rf"""[^\s/>][^\s/=>]*+(?:\s*+=[\s=]*+{_VALUE})?+"""
-_INSIDE = rf"""(?:[\s/]++|{_ATTRIBUTE})*+"""
 # A page is read piece by piece, so nothing inside a comment, a value or a text element is taken
 # for a tag: comments, elements whose content is text, all other start tags. What is not closed
 # ends with the page.
 _PIECE = (
     r"(?is)<!--.*?(?:--!?>|\z)"
-    rf"|<(script|style|textarea|title)(?=[\s/>]){_INSIDE}>.*?(?:</\1\s*>|\z)"
-    rf"|<[a-z][^\s/>]*+{_INSIDE}>"
+    rf"|<(script|style|textarea|title)(?=[\s/>]){INSIDE}>.*?(?:</\1\s*>|\z)"
+    rf"|<[a-z][^\s/>]*+{INSIDE}>"
 )
 # Attributes are consumed one by one from the tag's start, so a value of another one is never read.
-_HREF = rf"""(?is)^<a[\s/]++(?:(?!href\s*+=){_ATTRIBUTE}[\s/]*+)*+href\s*+=[\s=]*+({_VALUE})"""
-_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-
-
-def _character(reference: Column) -> Column:
-    """The character of one reference; an unknown name stays as it is."""
-    digits = F.regexp_extract(reference, r"^&#([0-9]+);$", 1)
-    hexed = F.regexp_extract(reference, r"^&#[xX]([0-9a-fA-F]+);$", 1)
-    code = F.when(digits != "", digits.cast("int")).when(hexed != "", F.conv(hexed, 16, 10).cast("int"))
-    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    named = F.create_map(*[F.lit(x) for name, n in name2codepoint.items() for x in (name, chr(n))])
-    name = F.regexp_extract(reference, r"^&([A-Za-z][A-Za-z0-9]*);$", 1)
-    return F.when(valid, char).when(code.isNotNull(), "\ufffd").otherwise(
-        F.coalesce(F.try_element_at(named, name), reference)
-    )
-
-
-def _unescape(text: Column) -> Column:
-    found = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
-    between = F.split(text, _REFERENCE, -1)
-    joined = F.zip_with(between, found, lambda b, r: F.concat(b, F.when(r.isNull(), "").otherwise(_character(r))))
-    return F.when(text.contains("&"), F.array_join(joined, "")).otherwise(text)
+_HREF = rf"""(?is)^<a[\s/]++(?:(?!href\s*+=){ATTRIBUTE}[\s/]*+)*+href\s*+=[\s=]*+({VALUE})"""
 
 
 def hrefs(html: Column) -> Column:
@@ -53,7 +28,7 @@ def hrefs(html: Column) -> Column:
     with_target = F.filter(pieces, lambda a: a.rlike(_HREF))
     return F.transform(
         with_target,
-        lambda a: _unescape(F.regexp_replace(F.regexp_extract(a, _HREF, 1), r"""(?s)^(["'])(.*)\1$""", "$2")),
+        lambda a: unescape(F.regexp_replace(F.regexp_extract(a, _HREF, 1), r"""(?s)^(["'])(.*)\1$""", "$2")),
     )
 
 

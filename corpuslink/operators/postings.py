@@ -24,16 +24,14 @@ def posting_chunks(index: DataFrame, id_column: str = "course_id", size: int = C
     often as in the index. Rows without a word or an id are in no list."""
     rows = index.select("word", F.col(id_column).cast("long").alias("id")).where("word is not null and id is not null")
     blocks = numbered(rows, "word", "id").withColumn("block", F.floor(F.col("pos") / size))
-    # At most ``size`` rows a group.
-    chunks = cut_lineage(
-        blocks.groupBy("word", "block").agg(
-            F.min("id").alias("first_id"),
-            F.max("id").alias("last_id"),
-            F.count("*").alias("n"),
-            F.sort_array(F.collect_list("id")).alias("ids"),
-        )
+    # At most ``size`` rows a group; the numbered rows are in order, so they combine before the shuffle.
+    chunks = blocks.groupBy("word", "block").agg(
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+        F.count("*").alias("n"),
+        F.sort_array(F.collect_list("id")).alias("ids"),
     )
-    starts = chunks.groupBy("word").agg(F.min("block").alias("start"))
+    starts = blocks.groupBy("word").agg(F.min("block").alias("start"))
     return chunks.join(starts, "word").select(
         "word",
         (F.col("block") - F.col("start")).alias("chunk_no"),

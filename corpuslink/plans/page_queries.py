@@ -98,8 +98,10 @@ def block_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = _article_words(spark, sf_dir).join(_coded(spark, sf_dir), "page_id")
-    return keywords.index_rows(coded, code_map(spark, sf_dir))
+    """The pages' ids are looked up before they meet the words, which are shuffled once."""
+    known = _coded(spark, sf_dir).join(code_map(spark, sf_dir), "code").select("page_id", "course_id")
+    words = _article_words(spark, sf_dir).join(known, "page_id")
+    return words.select("course_id", F.explode("words").alias("word"))
 
 
 def keyword_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,28 +123,33 @@ def sequence_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalog pages made of the articles: a header block and a sub-course block, next to each
-    other on even pages and with text between them on odd ones. Titles carry a code where the
-    address of the page has a number."""
+    """Catalog pages made of the articles: a header block and a sub-course block. On even pages they
+    are next to each other, the header holds the first paragraph and the sub-course all others; on
+    odd ones text stands between them and the header, indexed alone, holds all paragraphs. Titles
+    carry a code where the address of the page has a number."""
     pages = _pages(spark, sf_dir)
     area = F.upper(F.regexp_extract("url", r"/([a-z]{2})/(\d+)", 1))
     number = F.regexp_extract("url", r"/([a-z]{2})/(\d+)", 2)
     heading = F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1)
     plain = F.regexp_extract_all("html", F.lit("<p>([^<]*)</p>"), F.lit(1))
 
-    def block(kind: str, first_digit: str, place: int) -> Column:
+    odd = F.col("page_id") % 2 == 1
+    first = F.when(odd, F.array_join(plain, " ")).otherwise(F.coalesce(F.get(plain, F.lit(0)), F.lit("")))
+    others = F.array_join(F.slice(plain, F.lit(2), F.greatest(F.size(plain), F.lit(1))), " ")
+
+    def block(kind: str, first_digit: str, desc: Column) -> Column:
         code = F.when(
             number != "", F.concat(area, F.lit(f"PG\xa0{first_digit}"), F.lpad(F.right(number, F.lit(4)), 4, "0"), F.lit(". "))
         ).otherwise("")
         return F.concat(
             F.lit(f'<div class="{kind}"><p class="courseblocktitle"><b>'), code, heading,
-            F.lit('</b></p><p class="courseblockdesc">'), F.coalesce(F.get(plain, F.lit(place)), F.lit("")), F.lit("</p></div>"),
+            F.lit('</b></p><p class="courseblockdesc">'), desc, F.lit("</p></div>"),
         )
 
     html = F.concat(
-        block(keywords.MAIN_CLASS, "1", 0),
-        F.when(F.col("page_id") % 2 == 1, "\n").otherwise(""),
-        block(keywords.SUB_CLASS, "2", 1),
+        block(keywords.MAIN_CLASS, "1", first),
+        F.when(odd, "\n").otherwise(""),
+        block(keywords.SUB_CLASS, "2", others),
     )
     return pages.select("page_id", html.alias("html"))
 
@@ -257,8 +264,8 @@ _CATALOG = f"""cat AS MATERIALIZED (
 listed AS MATERIALIZED (
     SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 1 ELSE 0 END AS block_no,
            CASE WHEN area <> '' THEN area || 'PG ' || CASE WHEN page_id % 2 = 0 THEN '2' ELSE '1' END || number END AS code,
-           heading || ' ' || CASE WHEN area <> '' THEN area || 'PG ' ELSE '' END || {_text("coalesce(plain[1], '')")}
-               || CASE WHEN page_id % 2 = 0 THEN ' ' || {_text("coalesce(plain[2], '')")} ELSE '' END AS said FROM cat),
+           heading || ' ' || CASE WHEN area <> '' THEN area || 'PG ' ELSE '' END
+               || {_text("array_to_string(plain, ' ')")} AS said FROM cat),
 catalog_map AS MATERIALIZED (
     SELECT code, min(id) AS course_id FROM (
         SELECT area || 'PG 1' || number AS code, page_id * 2 AS id FROM cat WHERE page_id % 3 <> 0 AND area <> ''
