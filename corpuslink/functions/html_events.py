@@ -56,8 +56,7 @@ def events(html: Column, shape: BlockShape) -> Column:
     shape names."""
     named = {shape.tag, shape.title[0], *([shape.desc[0]] if shape.desc else [])}
 
-    def started(piece: Column) -> Column:
-        tag = F.lower(F.regexp_extract(piece, _TAG, 1))
+    def started(piece: Column, tag: Column) -> Column:
         classes = F.when(tag.isin(sorted(named)), _class_of(piece))
         opened = F.when(
             tag.isin(sorted(CLOSES_P)), F.array(_event("close", F.lit("p")), _event("open", tag, classes))
@@ -69,27 +68,32 @@ def events(html: Column, shape: BlockShape) -> Column:
         none = F.slice(closed, 1, 0)
         is_p = F.array(_event("close", F.lit("p")))
         return (
-            F.when(piece.rlike(_RAW), F.concat(opened, F.coalesce(shown, none), F.coalesce(ended, none)))
+            F.when(tag.isin("script", "style", "textarea", "title"), F.concat(opened, F.coalesce(shown, none), F.coalesce(ended, none)))
             .when(
                 tag.isin(sorted(VOID)),
                 F.concat(F.when(tag.isin(sorted(CLOSES_P & VOID)), is_p).otherwise(none), F.array(_event("void", tag))),
             )
-            .when(piece.rlike(_SELF_CLOSED), F.concat(opened, closed))
+            .when(piece.endswith("/>") & piece.rlike(_SELF_CLOSED), F.concat(opened, closed))
             .otherwise(opened)
         )
 
-    def read(piece: Column) -> Column:
-        ended = F.lower(F.regexp_extract(piece, _END, 1))
+    def read(piece: Column, tag: Column, ended: Column) -> Column:
         return (
-            F.when(~piece.startswith("<") | (piece == "<"), F.array(_event("data", text=unescape(piece))))
-            .when(piece.startswith("<!--"), F.array(_event("gap")))
-            .when(piece.rlike("^<[a-zA-Z]"), started(piece))
+            F.when(tag != "", started(piece, tag))
             .when(ended != "", F.array(_event("close", ended)))
+            .when(~piece.startswith("<") | (piece == "<"), F.array(_event("data", text=unescape(piece))))
+            .when(piece.startswith("<!--"), F.array(_event("gap")))
             .otherwise(F.slice(F.array(_event("gap")), 1, 0))
         )
 
-    pieces = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(_PIECE), F.lit(0))
-    return F.flatten(F.transform(pieces, read))
+    # Names are read once per piece; the second pass uses them several times.
+    pieces = F.transform(
+        F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(_PIECE), F.lit(0)),
+        lambda p: F.struct(
+            p.alias("piece"), F.lower(F.regexp_extract(p, _TAG, 1)).alias("tag"), F.lower(F.regexp_extract(p, _END, 1)).alias("ended")
+        ),
+    )
+    return F.flatten(F.transform(pieces, lambda p: read(p["piece"], p["tag"], p["ended"])))
 
 
 def _element(tag: Column, after: Column, block: Column, titles: Column, descs: Column) -> Column:

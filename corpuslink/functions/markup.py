@@ -20,7 +20,9 @@ def _character(reference: Column) -> Column:
     code = F.when(digits != "", digits.cast("int")).when(hexed != "", F.conv(hexed, 16, 10).cast("int"))
     valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
     char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    named = F.create_map(*[F.lit(x) for name, n in name2codepoint.items() for x in (name, chr(n))])
+    # One literal instead of one per name: the plan stays small.
+    listed = "\x02".join(f"{name}\x01{chr(n)}" for name, n in name2codepoint.items())
+    named = F.str_to_map(F.lit(listed), F.lit("\x02"), F.lit("\x01"))
     name = F.regexp_extract(reference, r"^&([A-Za-z][A-Za-z0-9]*);$", 1)
     return F.when(valid, char).when(code.isNotNull(), "\ufffd").otherwise(
         F.coalesce(F.try_element_at(named, name), reference)

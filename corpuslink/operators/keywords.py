@@ -20,10 +20,12 @@ def page_blocks(pages: DataFrame, shape: BlockShape = BlockShape(), marker: str
     source = pages.select("page_id", "html")
     if marker is not None:
         source = source.where(F.col("html").contains(marker))
+    # Outer, as Spark would work the blocks out a second time to filter for those that are not empty.
     found = (
         source.select("page_id", events(F.col("html"), shape).alias("events"))
         .withColumn("found", blocks(F.col("events"), shape))
-        .select("page_id", "events", F.posexplode("found").alias("block_no", "block"))
+        .select("page_id", "events", F.posexplode_outer("found").alias("block_no", "block"))
+        .where(F.col("block_no").isNotNull())
     )
     part = lambda first, last: text_between(F.col("events"), F.col(f"block.{first}"), F.col(f"block.{last}"))
     return found.select(
@@ -81,7 +83,12 @@ def with_codes(rows: DataFrame, code: Column | None = None) -> DataFrame:
 
 def index_rows(coded: DataFrame, code_map: DataFrame) -> DataFrame:
     """``(course_id, word)``: one row per block and word, repeats across pages kept."""
-    return coded.join(code_map, "code").select("course_id", F.explode("words").alias("word"))
+    return exploded(coded.join(code_map, "code"), "course_id")
+
+
+def exploded(rows: DataFrame, *columns: str) -> DataFrame:
+    """``(*columns, word)``: one row per word of ``words``. Read outer, so words are worked out once."""
+    return rows.select(*columns, F.explode_outer("words").alias("word")).where(F.col("word").isNotNull())
 
 
 def unknown_codes(coded: DataFrame, code_map: DataFrame) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from corpuslink.functions.html_blocks import BlockShape
 from corpuslink.functions.text import STOP_WORDS
-from corpuslink.functions.urls import is_ok_to_follow
 from corpuslink.operators import crawl, keywords, links, postings
 from corpuslink.plans import views
+from corpuslink.session import cut_lineage
 
 DOMAIN = "example.com"
 SITE = "http://site.example.com/"
@@ -65,11 +65,23 @@ def link_crawl_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("url", "visit_no", "level")
 
 
+def named_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages under the words of their headings, the first page of each word, so that the links inside
+    the pages, which name words, lead to pages."""
+    heading = F.regexp_replace(F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1), "&[a-z]+;", " ")
+    words = F.regexp_extract_all(heading, F.lit("[a-zA-Z]+"), F.lit(0))
+    named = _pages(spark, sf_dir).select(F.explode(words).alias("word"), "page_id").groupBy("word").agg(F.min("page_id").alias("page_id"))
+    address = F.concat(F.lit(SITE), F.col("word")).alias("url")
+    return named.join(views.table(spark, sf_dir, "pages").select("page_id", "html"), "page_id").select("page_id", address, "html")
+
+
 def page_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over the pages' own links, from the first page of the domain."""
-    pages = views.table(spark, sf_dir, "pages")
-    first = pages.where(is_ok_to_follow(F.col("url"), DOMAIN)).agg(F.min("url")).first()[0]
-    return crawl.crawl_pages(_pages(spark, sf_dir), first or "", DOMAIN, NO_LIMIT).select("url", "level")
+    """Over the pages' own links, from the page whose links lead to most pages."""
+    pages = cut_lineage(named_pages(spark, sf_dir))
+    to_pages = links.link_table(pages, DOMAIN).join(pages.select(F.col("url").alias("dst")), "dst")
+    start = to_pages.groupBy("src").agg(F.count_distinct("dst").alias("n")).orderBy(F.desc("n"), "src").first()
+    found = crawl.crawl_pages(pages, start["src"] if start else SITE, DOMAIN, NO_LIMIT)
+    return found.select("url", "visit_no", "level")
 
 
 def _coded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,14 +106,14 @@ def _article_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def block_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _article_words(spark, sf_dir).select("page_id", F.explode("words").alias("word"))
+    return keywords.exploded(_article_words(spark, sf_dir), "page_id")
 
 
 def keyword_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages' ids are looked up before they meet the words, which are shuffled once."""
     known = _coded(spark, sf_dir).join(code_map(spark, sf_dir), "code").select("page_id", "course_id")
     words = _article_words(spark, sf_dir).join(known, "page_id")
-    return words.select("course_id", F.explode("words").alias("word"))
+    return keywords.exploded(words, "course_id")
 
 
 def keyword_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +131,7 @@ def sequence_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = keywords.page_blocks(_pages(spark, sf_dir), MENU_ITEM)
     role = F.when(F.col("block_no") == 0, keywords.MAIN_CLASS).otherwise(keywords.SUB_CLASS)
     found = keywords.sequence_words(items.withColumn("class", role))
-    return found.select("page_id", "block_no", F.explode("words").alias("word"))
+    return keywords.exploded(found, "page_id", "block_no")
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,15 +303,25 @@ SQL = {
         WHERE {_follow("target")}""",
     "link_crawl": f"WITH RECURSIVE {_SITE_CRAWL} SELECT * FROM visited",
     "link_crawl_budget": f"WITH RECURSIVE {_SITE_CRAWL} SELECT * FROM visited WHERE visit_no < {BUDGET}",
-    "page_crawl": f"""WITH RECURSIVE {_LINKS},
-        edges AS MATERIALIZED (
-            SELECT DISTINCT p.url AS src, r.target AS dst FROM resolved r JOIN pages p ON r.page_id = p.page_id
-            WHERE {_follow("r.target")}),
-        n_pages AS (SELECT count(*) AS n FROM pages),
-        reached(url, level) AS (
-            SELECT (SELECT min(url) FROM pages WHERE {_follow("url")}), 0 UNION
-            SELECT e.dst, r.level + 1 FROM reached r JOIN edges e ON e.src = r.url, n_pages WHERE r.level <= n)
-        SELECT url, min(level) AS level FROM reached GROUP BY url""",
+    "page_crawl": f"""WITH RECURSIVE headings AS (
+            SELECT page_id, html, unnest(regexp_extract_all(
+                regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&[a-z]+;', ' ', 'g'), '[a-zA-Z]+')) AS word FROM pages),
+        named AS MATERIALIZED (SELECT '{SITE}' || word AS url, arg_min(html, page_id) AS html FROM headings GROUP BY word),
+        found AS (SELECT url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hrefs FROM named),
+        places AS (SELECT url, hrefs, unnest(range(1, len(hrefs) + 1)) AS i FROM found),
+        targets AS (SELECT url AS src, i, regexp_extract(url, '^(https?://[^/?#]+)', 1)
+                           || regexp_replace(replace(hrefs[i], '&amp;', '&'), '#.*$', '') AS dst FROM places),
+        edges AS MATERIALIZED (SELECT src, dst, min(i) AS i FROM targets WHERE {_follow("dst")} GROUP BY src, dst),
+        n_pages AS (SELECT count(*) AS n FROM named),
+        start AS (SELECT e.src AS url FROM edges e JOIN named n ON n.url = e.dst
+                  GROUP BY e.src ORDER BY count(DISTINCT e.dst) DESC, e.src LIMIT 1),
+        reached(url, level, way) AS (
+            SELECT coalesce((SELECT url FROM start), '{SITE}'), 0, CAST([] AS BIGINT[]) UNION ALL
+            SELECT e.dst, r.level + 1, list_append(r.way, CAST(e.i AS BIGINT))
+            FROM reached r JOIN edges e ON e.src = r.url, n_pages WHERE r.level < n
+            QUALIFY row_number() OVER (PARTITION BY e.dst ORDER BY list_append(r.way, CAST(e.i AS BIGINT))) = 1),
+        visited AS (SELECT url, level, way FROM reached QUALIFY row_number() OVER (PARTITION BY url ORDER BY level, way) = 1)
+        SELECT url, row_number() OVER (ORDER BY level, way) - 1 AS visit_no, level FROM visited""",
     "catalog_index_built": f"""WITH {_CATALOG},
         said AS (SELECT page_id, code, unnest(regexp_extract_all(said, '{_WORD}')) AS token FROM listed)
         SELECT m.course_id, w.word FROM catalog_map m JOIN (

@@ -20,6 +20,7 @@ import re
 import sys
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -44,18 +45,35 @@ def pieces_of(text: Column, size: int) -> Column:
     return F.regexp_extract_all(F.concat(F.coalesce(text, F.lit("")), F.lit("\n")), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
 
 
-def _taken(waiting: str, batches: Iterator[pd.DataFrame], columns: list[str], expected: int) -> tuple[list, int, str]:
-    """Numbered items in order from ``expected`` on, the next number, and what still waits."""
-    held = {int(n): rest for n, *rest in json.loads(waiting)}
+def _taken(waiting: str, batches: Iterator[pd.DataFrame], columns: list[str], expected: int) -> tuple[list[list], int, str]:
+    """Columns of the numbered rows that follow each other from ``expected`` on, the next number, and
+    what still waits."""
+    number, *others = columns
+    numbers, values = [], [[] for _ in others]
     for batch in batches:
-        for n, *rest in batch[columns].itertuples(index=False, name=None):
-            if n >= expected:
-                held[int(n)] = [None if x is None or x is pd.NA else x for x in rest]
-    ready = []
-    while expected in held:
-        ready.append(held.pop(expected))
-        expected += 1
-    return ready, expected, json.dumps([[n, *rest] for n, rest in sorted(held.items())])
+        numbers.append(batch[number].to_numpy(np.int64))
+        for held, name in zip(values, others):
+            held += batch[name].tolist()
+    if waiting != "[]":
+        early = json.loads(waiting)
+        numbers.append(np.array([n for n, *_ in early], np.int64))
+        for i, held in enumerate(values):
+            held += [rest[i] for _, *rest in early]
+    found = np.concatenate(numbers)
+    order = np.argsort(found, kind="stable")
+    ordered = found[order]
+    keep = ordered >= expected
+    keep[1:] &= ordered[1:] != ordered[:-1]
+    order, ordered = order[keep], ordered[keep]
+    n = int(np.argmin(np.append(ordered == expected + np.arange(len(ordered)), False)))
+    ready = [[held[i] for i in order[:n]] for held in values]
+    rest = [[int(found[i]), *(_plain(held[i]) for held in values)] for i in order[n:]]
+    return ready, expected + n, json.dumps(rest) if rest else "[]"
+
+
+def _plain(value: object) -> object:
+    """A missing value as JSON has it."""
+    return None if value is None or value is pd.NA or value != value else value
 
 
 def read_piece(word: str, piece: str) -> tuple[list[str | None], str]:
@@ -83,9 +101,8 @@ def ended_words(pieces: DataFrame, keys: Sequence[str]) -> DataFrame:
         expected, number, word, waiting = state.get if state.exists else (0, 0, "", "[]")
         words: list[str | None] = [] if state.exists else [None]
         ready, expected, waiting = _taken(waiting, batches, ["seq", "chars"], expected)
-        for (chars,) in ready:
-            found, word = read_piece(word, chars or "")
-            words += found
+        found, word = read_piece(word, "".join([c or "" for c in ready[0]]))
+        words += found
         state.update((expected, number + len(words), word, waiting))
         if words:
             rows = [(*key, number + i, w) for i, w in enumerate(words)]
@@ -104,15 +121,17 @@ def messages(checked: DataFrame, keys: Sequence[str]) -> DataFrame:
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         expected, message, unknown, misspelled, waiting = state.get if state.exists else (0, "", 0, False, "[]")
         ready, expected, waiting = _taken(waiting, batches, ["word_no", "word", "is_word"], expected)
-        for word, known in ready:
-            if word is None:
-                message, unknown, misspelled = "", 0, False
-            elif known:
-                message, misspelled = (f"{message} {word}" if message else word), False
-            else:
-                unknown, misspelled = unknown + 1, True
+        words, known = ready
+        anew = [i for i, word in enumerate(words) if word is None]
+        if anew:
+            message, unknown, misspelled = "", 0, False
+            words, known = words[anew[-1] + 1 :], known[anew[-1] + 1 :]
+        if words:
+            accepted = [word for word, ok in zip(words, known) if ok]
+            message = " ".join([message, *accepted] if message else accepted)
+            unknown, misspelled = unknown + len(words) - len(accepted), not known[-1]
         state.update((expected, message, unknown, misspelled, waiting))
-        if ready:
+        if ready[0]:
             row = (*key, expected, message, unknown, misspelled)
             yield pd.DataFrame([row], columns=[*keys, "n_words", "message", "n_unknown", "misspelled"])
 

@@ -221,3 +221,46 @@ def test_text_functions(spark):
     ).first()
     assert r.w == ["the", "art", "cs", "x"] and r.a == "CMSC 12200" and r.b is None
     assert r.q == ["w", "a"] and [k for k in r.none if k] == [] and r.s == ["a", "", "b"]
+
+
+def exchanges_over(plan, table):
+    """Lines of a plan from the scan of a table up to the first join above it."""
+    lines = plan.split("\n")
+    at = next(i for i, line in enumerate(lines) if table in line)
+    depth, above = lines[at].find("FileScan"), []
+    for line in reversed(lines[:at]):
+        start = len(line) - len(line.lstrip(" :+-"))
+        if start < depth:
+            above.append(line)
+            depth = start
+            if "Join" in line:
+                break
+    return above
+
+
+def test_what_is_known_does_not_move(spark):
+    """No exchange between the bucketed tables and the joins of a level."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        edges, known = C._Buckets(spark, "src", "edges"), C._Buckets(spark, "url", "known")
+        edges.append(spark.range(500).selectExpr("concat('p', id) AS src", "0 AS pos", "concat('p', id + 1) AS dst"))
+        for low in (0, 100):
+            known.append(spark.range(low, low + 100).selectExpr("concat('p', id) AS url", "id AS visit_no", "0 AS level"), 100)
+        frontier = spark.createDataFrame([("p150", 150), ("p220", 7)], "url string, visit_no long")
+        found = C.next_targets(edges.rows(), frontier, known.rows())
+        assert rows(found.select("url", "first.visit_no")) == [("p221", 7)]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        for table in (edges.name, known.name):
+            above = exchanges_over(plan, table)
+            assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+        known.compact()
+        assert known.rows().count() == 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_long_crawl(spark):
+    """More levels than appends between two compactions."""
+    table = [(f"p{i}", 0, f"p{i + 1}") for i in range(22)] + [(f"p{i}", 1, "p0") for i in range(22)]
+    found = C.crawl_links(spark.createDataFrame(table, "src string, pos int, dst string"), "p0", 10**6)
+    assert rows(found) == sorted([(f"p{i}", i, i) for i in range(23)], key=repr)
