@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslink.llm.tokens import END_ID, default_tokenizer, encoder
 from corpuslink.llm.wordhash import give_back
@@ -66,18 +67,26 @@ def pack_examples(examples: DataFrame, limits: dict[str, int], group_items: int
     """``examples`` with ``sequence_id`` and ``offset`` (of the first limited column).
 
     ``limits`` maps demand columns to their limits; the first is the one that offsets count. No
-    example may exceed a limit. ``examples`` should be a stored table: it is counted first."""
+    example may exceed a limit; a null demand counts as 0. Columns ``sequence_id`` and ``offset`` that
+    ``examples`` has already are replaced; all others are kept, whatever their names. ``examples``
+    should be a stored table: it is counted first."""
     names = list(limits)
+    if {"sequence_id", "offset"} & {n.lower() for n in names}:
+        raise ValueError("a demand must not be named sequence_id or offset")
+    examples = examples.drop("sequence_id", "offset")
+    row_name, group_name = "_row", "_group"
+    while {row_name, group_name} & {c.lower() for c in examples.columns}:
+        row_name, group_name = "_" + row_name, "_" + group_name
     bounds = np.array([limits[n] for n in names], np.int64)
     groups = max(1, -(-examples.count() // group_items))
-    schema = examples.schema.add("sequence_id", "long").add("offset", "long")
-    dealt = examples.withColumn("_row", F.monotonically_increasing_id()).withColumn(
-        "_group", F.pmod(F.xxhash64("_row"), F.lit(groups))
+    schema = T.StructType([*examples.schema.fields, *T.StructType.fromDDL("sequence_id bigint, offset bigint").fields])
+    dealt = examples.withColumn(row_name, F.monotonically_increasing_id()).withColumn(
+        group_name, F.pmod(F.xxhash64(row_name), F.lit(groups))
     )
 
     def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by("_row")
-        demands = np.stack([table[n].to_numpy().astype(np.int64) for n in names], axis=1)
+        table = table.sort_by(row_name)
+        demands = np.stack([table[n].fill_null(0).to_numpy().astype(np.int64) for n in names], axis=1)
         if (demands > bounds).any():
             raise ValueError(f"an example exceeds the limits {limits}")
         sequence, turn = place(demands, bounds)
@@ -87,11 +96,11 @@ def pack_examples(examples: DataFrame, limits: dict[str, int], group_items: int
         opens = np.concatenate([[True], np.diff(sequence[order]) > 0])
         offset = np.empty(len(order), np.int64)
         offset[order] = before - np.maximum.accumulate(np.where(opens, before, 0))
-        ids = ((table["_group"].to_numpy().astype(np.int64) << 24) | sequence) * 2
-        table = table.drop_columns(["_row", "_group"])
+        ids = ((table[group_name].to_numpy().astype(np.int64) << 24) | sequence) * 2
+        table = table.drop_columns([row_name, group_name])
         return table.append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(offset))
 
-    return dealt.groupBy("_group").applyInArrow(pack, schema)
+    return dealt.groupBy(group_name).applyInArrow(pack, schema)
 
 
 def cut_documents(docs: DataFrame, max_tokens: int, tokenizer: str | None = None) -> DataFrame:

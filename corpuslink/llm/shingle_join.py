@@ -18,8 +18,11 @@ How it runs:
    document of each prefix shingle, the one with the smallest share of shingles of its own (in a
    group of edited copies, the text they come from), then again with another one where a shingle
    still joins several components. Documents that could still be linked get their prefixes anew,
-   from the shingles that meet several components. What is left is compared in full, but only across components, under the
-   multi-match rule. Components are thus exact while copies of one text are never all paired.
+   from the shingles that meet several components, and all that share some are compared, but only
+   across components. In every one of these steps a pair is verified only if it shares as many
+   prefix shingles as its smaller k asks for; the first two see only the shingles that chose the
+   same document and so may miss a pair, the last one misses none. Components are thus exact while
+   copies of one text are never all paired.
 
 Candidates are verified exactly, on the shingles that occur twice or more and the sets' sizes. A
 shingle is a 64-bit hash; its upper 48 bits are compared between documents.
@@ -47,6 +50,8 @@ from corpuslink.session import cut_lineage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK_TOKENS = 1_000_000
+#: Shingles that one task counts at a time, on average.
+GROUP_SHINGLES = 1 << 22
 #: Cost of verifying a candidate in units of meeting one entry of an index.
 VERIFY_COST = 8.0
 LONGEST = 24
@@ -115,7 +120,7 @@ def _dealt_shingles(docs: DataFrame, width: int, groups: int) -> DataFrame:
             tokens, place = tokens[order], place[order]
             high = (tokens >> np.uint64(32)).astype(np.uint16)
             low = tokens.astype(np.uint32)
-            edges = np.searchsorted((high.astype(np.int64) * groups) >> 16, np.arange(groups + 1)).tolist()
+            edges = np.searchsorted(((tokens >> np.uint64(16)) * np.uint64(groups)) >> np.uint64(32), np.arange(groups + 1)).tolist()
             rows = [
                 {"g": g, "chunk": chunk, "low": low[a:b].tobytes(), "high": high[a:b].tobytes(),
                  "place": place[a:b].tobytes()}
@@ -316,6 +321,35 @@ def _can_share(percent: int):
     return (F.col("na") - F.col("owna") >= need) & (F.col("nb") - F.col("ownb") >= need)
 
 
+def _multi_match(met: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (``a``, ``b``) that share as many prefix shingles as the smaller k of the two
+    asks for. ``met`` has a row per pair and shingle, with ``n``, ``k``, ``own`` and ``place`` of both."""
+    k, need = F.least("ka", "kb"), _needed(percent)
+    return (
+        met.where(_can_share(percent))
+        .where((F.col("placea") < F.col("na") - need + k) & (F.col("placeb") < F.col("nb") - need + k))
+        .groupBy("a", "b", k.alias("k"))
+        .agg(F.count("*").alias("shared"))
+        .where("shared >= k")
+        .select("a", "b")
+    )
+
+
+def _matched(entries: DataFrame, percent: int) -> DataFrame:
+    """:func:`_multi_match` of every document with the ``centre`` of each of its prefix shingles. Each
+    shingle of a pair counts once, whichever of the two was the other's centre."""
+    parts = ("n", "k", "own", "place")
+    first = F.col("doc") < F.col("centre.doc")
+    pick = lambda x, y: F.when(first, x).otherwise(y)
+    met = entries.where("doc <> centre.doc").select(
+        pick(F.col("doc"), F.col("centre.doc")).alias("a"),
+        pick(F.col("centre.doc"), F.col("doc")).alias("b"),
+        *[pick(F.col(p), F.col(f"centre.{p}")).alias(f"{p}a") for p in parts],
+        *[pick(F.col(f"centre.{p}"), F.col(p)).alias(f"{p}b") for p in parts],
+    )
+    return _multi_match(met, percent)
+
+
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Components of ``labels`` with further links between them, if there are any."""
     if links.isEmpty():
@@ -344,7 +378,9 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
         .distinct()
     )
 
-    groups = min(1 << 14, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # As many groups as the shingles need, and no fewer than keep all tasks busy.
+    total = marks.agg(F.sum("n_shingles")).first()[0] or 0
+    groups = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // GROUP_SHINGLES))
     returned = _dealt_shingles(docs, width, groups).groupBy("g").applyInArrow(_repeated, _BACK)
     sets = cut_lineage(returned.groupBy("chunk").applyInArrow(_prefixes(percent), _PREFIXES))
     # A prefix shingle met by one document alone links nothing.
@@ -353,19 +389,17 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     entries = sets.join(copied, ["doc", "digest"], "left_anti").select(
         "doc", "n", "k", "own", F.explode(F.arrays_zip("prefix", "place")).alias("e")
     ).select("doc", "n", "k", "own", F.col("e.prefix").alias("token"), F.col("e.place").alias("place"))
-    most_shared = F.min_by("doc", F.floor(1000 * F.col("own") / F.col("n")) + F.pmod(F.xxhash64("doc"), F.lit(1 << 40)) / float(1 << 40))
+    most_shared = F.min_by(
+        F.struct("doc", "n", "k", "own", "place"),
+        F.floor(1000 * F.col("own") / F.col("n")) + F.pmod(F.xxhash64("doc"), F.lit(1 << 40)) / float(1 << 40),
+    )
     met = (
         entries.groupBy("token")
         .agg(F.min("doc").alias("low"), F.max("doc").alias("high"), most_shared.alias("centre"))
         .where("low < high")
     )
     entries = cut_lineage(entries.join(met.select("token", "centre"), "token"))
-
-    one_each = (
-        entries.where("doc <> centre")
-        .select(F.col("doc").alias("a"), F.col("centre").alias("b"))
-        .distinct()
-    )
+    one_each = _matched(entries, percent)
     links = cut_lineage(copies.select("a", "b").distinct().union(_verified(one_each, sets, percent)))
     labels = cut_lineage(components(links))
 
@@ -381,18 +415,14 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
             .agg(
                 F.min("component").alias("low"),
                 F.max("component").alias("high"),
-                F.min_by(F.struct("doc", "component"), F.xxhash64("doc", "token")).alias("centre"),
+                F.min_by(F.struct("doc", "n", "k", "own", "place", "component"), F.xxhash64("doc", "token")).alias("centre"),
             )
             .where("low < high")
         )
         return own.join(several.select("token", "centre"), "token")
 
     left = cut_lineage(across())
-    again = (
-        left.where("component <> centre.component")
-        .select(F.least("doc", "centre.doc").alias("a"), F.greatest("doc", "centre.doc").alias("b"))
-        .distinct()
-    )
+    again = _matched(left.where("component <> centre.component"), percent)
     labels = _joined(labels, cut_lineage(_verified(again, sets, percent)))
 
     rest = _refined(across().select("doc", "component").distinct(), sets, percent)
@@ -400,16 +430,8 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
         "token", F.col("doc").alias(x), F.col("n").alias(f"n{x}"), F.col("k").alias(f"k{x}"),
         F.col("own").alias(f"own{x}"), F.col("place").alias(f"place{x}"), F.col("component").alias(f"component{x}"),
     )
-    k, need = F.least("ka", "kb"), _needed(percent)
-    pairs = (
-        side("a").join(side("b"), "token")
-        .where((F.col("a") < F.col("b")) & (F.col("componenta") != F.col("componentb")) & _can_share(percent))
-        .where((F.col("placea") < F.col("na") - need + k) & (F.col("placeb") < F.col("nb") - need + k))
-        .groupBy("a", "b", k.alias("k"))
-        .agg(F.count("*").alias("shared"))
-        .where("shared >= k")
-        .select("a", "b")
-    )
+    met = side("a").join(side("b"), "token").where((F.col("a") < F.col("b")) & (F.col("componenta") != F.col("componentb")))
+    pairs = _multi_match(met, percent)
     labels = _joined(labels, cut_lineage(_verified(pairs, sets, percent)))
     return (
         marks.select("doc_id", "n_shingles")

@@ -42,7 +42,6 @@ FLOOR = 0.5
 #: Standard errors taken off a log-odds before it counts.
 CAUTION = 3.0
 FIT_ROWS = 20_000
-MAX_TOKENS = 20_000
 SIGNIFICANT = 0.05
 _COUNT_EVERY = 1_500_000
 
@@ -158,8 +157,9 @@ def _decay(scores: np.ndarray, shares: np.ndarray, drift: float) -> float:
     return low
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, max_tokens: int = MAX_TOKENS) -> Model:
-    """Learn from at most ``fit_rows`` of ``labels`` (``doc_id``, ``toxic``), taken by hash."""
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
+    """Learn from at most ``fit_rows`` of ``labels`` (``doc_id``, ``toxic``), taken by hash. Every token
+    of these rows whose log-odds are beyond doubt is scored; their number is bounded by the rows."""
     chosen = (
         labels.where("doc_id is not null and toxic is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -202,8 +202,6 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, max_tokens
             (CAUTION * F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior))).alias("e"),
         )
         .where(F.abs("d") > F.col("e"))
-        .orderBy(F.desc(F.abs("d") / F.col("e")), "token")
-        .limit(max_tokens)
         .toPandas()
     )
     tokens = rated["token"].to_numpy(np.int64).view(np.uint64)

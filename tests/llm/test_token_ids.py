@@ -146,3 +146,45 @@ def test_packing_of_no_documents(frame):
     assert packing.pack_documents(frame([])).count() == 0
     (only,) = packing.pack_documents(frame([(1, None)])).collect()
     assert (only.length, only.doc_tokens, only.offset) == (1, 1, 0)
+
+
+def test_packing_with_clashing_names_and_null_demands(spark):
+    rows = [(i, i % 7 + 1, None if i % 5 == 0 else i % 3, *"abcdef") for i in range(300)]
+    schema = "id long, size int, loss int, _row string, _group string, __row string, sequence_id string, offset string, shard string"
+    examples = spark.createDataFrame(rows, schema)
+    got = packing.pack_examples(examples, {"size": 20, "loss": 6}, group_items=64)
+    assert sorted(got.columns) == sorted(examples.columns)
+    held = got.collect()
+    assert sorted(r.id for r in held) == list(range(300)) and {r["_row"] for r in held} == {"a"} and {r.shard for r in held} == {"f"}
+    by = {}
+    for r in held:
+        by.setdefault(r.sequence_id, []).append(r)
+    for own in by.values():
+        own.sort(key=lambda r: r.offset)
+        assert [r.offset for r in own] == [sum(x.size for x in own[:i]) for i in range(len(own))]
+        assert sum(r.size for r in own) <= 20 and sum(r.loss or 0 for r in own) <= 6
+    with pytest.raises(ValueError):
+        packing.pack_examples(examples, {"offset": 3})
+
+
+def test_placing_equals_the_plain_heuristic():
+    """One example at a time: of those that fit, the one whose demand points most along the room."""
+    r = np.random.default_rng(5)
+    for _ in range(20):
+        limits = np.array([30, 6, 12])
+        demands = np.stack([r.integers(1, 20, 60), r.integers(1, 3, 60), r.integers(0, 9, 60)], axis=1)
+        open_, room, now, want, turns = set(range(60)), limits.copy(), 0, {}, {}
+        for step in range(60):
+            fits = [i for i in open_ if (demands[i] <= room).all()]
+            if not fits:
+                now, room = now + 1, limits.copy()
+                fits = list(open_)
+            score = lambda i: float((demands[i] / limits) @ (room / limits))
+            # Equal scores: the smaller demand in order, then the earlier example.
+            best = min(fits, key=lambda i: (-score(i), tuple(demands[i]), i))
+            open_.remove(best)
+            room = room - demands[best]
+            want[best], turns[best] = now, step
+        sequence, turn = packing.place(demands, limits)
+        assert sequence.tolist() == [want[i] for i in range(60)]
+        assert turn.tolist() == [turns[i] for i in range(60)]
