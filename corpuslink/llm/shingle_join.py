@@ -27,7 +27,8 @@ How it runs:
 Candidates are verified exactly, on the shingles that occur twice or more and the sets' sizes. A
 shingle is a 64-bit hash; its upper 48 bits are compared between documents.
 
-Null or empty texts have the empty set and no links. Fewer words than the width make one shingle.
+Texts of 1 MB or more are hashed in pieces; the hashes of a text are in one task (about 10 bytes for
+each of its bytes). Null or empty texts have the empty set and no links. Fewer words than the width make one shingle.
 Rows that share a ``doc_id`` are one node of the graph, each row is returned. Columns other than
 ``doc_id`` and ``text`` are not read; a null ``doc_id`` has its own row and no links.
 """

@@ -5,7 +5,8 @@ single, every blank or line break begins such a piece, and so does a comma or fu
 letter or digit. Texts are cut there; a worker hands a piece to the library the first time it meets
 it and afterwards copies its ids. Pieces are told apart by 128 bits of hash. All other texts
 (doubled or outer white space, white space beyond ASCII, the text of a special token) are encoded
-as they are. Either way gives the ids of encoding the whole text.
+as they are. Either way gives the ids of encoding the whole text. Texts of 1 MB or more go through in
+pieces, so a task holds the ids of a text and not much more.
 """
 
 from __future__ import annotations
@@ -231,10 +232,41 @@ class PieceEncoder:
             ids = np.concatenate([*parts, ids[edges[last] :]])
         return ids, lengths
 
-    def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """For runs of rows: first row, row after the last, ids in a row, ids per text."""
+    def encode(self, texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """For runs of rows: first row, row after the last, ids in a row, ids per text.
+
+        A text of more than ``size`` bytes is encoded in pieces, so beyond its ids memory does not
+        grow with it. One without a place to cut for that long is encoded whole."""
         for low, high, data, offsets in blocks(texts):
-            yield low, high, *self.block(data, offsets)
+            if len(data) <= size:
+                yield low, high, *self.block(data, offsets)
+                continue
+            for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+                parts = [self.block(part, np.array([0, len(part)]))[0] for part in _long_pieces(data[a:b], size)]
+                ids = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+                yield low + i, low + i + 1, ids, np.array([len(ids)])
+
+
+def _long_pieces(data: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """A text in pieces of about ``size`` bytes. It is cut in front of single blanks between two ASCII
+    characters that are no white space: there a new piece of the pattern begins, whatever stands
+    before and behind."""
+    at = 0
+    while len(data) - at > size:
+        reach, found = size, ()
+        while not len(found):
+            part = data[at : at + reach + 1]
+            solid = (part > 32) & (part < 127)
+            found = np.flatnonzero(solid[:-2] & (part[1:-1] == 32) & solid[2:]) + 1
+            if at + reach + 1 >= len(data):
+                break
+            reach *= 2
+        if not len(found):
+            break
+        yield data[at : at + int(found[-1])]
+        at += int(found[-1])
+    if at < len(data):
+        yield data[at:]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}

@@ -79,8 +79,46 @@ class WordHasher:
                 table[0] = 1
                 setattr(self, name, np.cumprod(table, dtype=np.uint64))
 
-    def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of every word and, per text, where its words begin (one entry more at the end)."""
+    def words(self, data: np.ndarray, offsets: np.ndarray, size: int = BLOCK_BYTES) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of every word and, per text, where its words begin (one entry more at the end).
+
+        More than ``size`` bytes are read in pieces cut between words, so beyond the hashes memory
+        does not grow with a text."""
+        if len(data) <= size:
+            return self._block(data, offsets)
+        found, begins = [np.empty(0, np.uint64)], [0]
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            parts = list(self._pieces(data[a:b], size))
+            found += parts
+            begins.append(begins[-1] + sum(map(len, parts)))
+        return np.concatenate(found), np.array(begins, np.int64)
+
+    def _pieces(self, text: np.ndarray, size: int) -> Iterator[np.ndarray]:
+        """Hashes of the words of one text, piece by piece."""
+        at = 0
+        while at < len(text):
+            part = text[at : at + size]
+            cuts = np.flatnonzero(self.separators[self.lower[part]]) if len(part) == size else None
+            if cuts is None or len(cuts):
+                part = part if cuts is None else part[: cuts[-1] + 1]
+                yield self._block(part, np.array([0, len(part)]))[0]
+                at += len(part)
+                continue
+            total = length = 0  # one word fills the piece: its sum is added up piece by piece
+            while at < len(text):
+                part = self.lower[text[at : at + size]]
+                cuts = np.flatnonzero(self.separators[part])
+                part = part[: cuts[0]] if len(cuts) else part
+                self._tables(len(part) + 1)
+                own = ((part.astype(np.uint64) + np.uint64(1)) * self.powers[: len(part)]).sum(dtype=np.uint64)
+                total = (total + pow(_P, length, 1 << 64) * int(own)) % (1 << 64)
+                length += len(part)
+                at += len(part)
+                if len(cuts):
+                    break
+            yield mix(np.array([(total + length) % (1 << 64)], np.uint64))
+
+    def _block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(data)
         if n == 0:
             return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
@@ -125,9 +163,11 @@ def shingles(hashes: np.ndarray, begins: np.ndarray, width: int) -> list[np.ndar
     runs = np.empty(0, np.uint64)
     if n >= width:
         runs = np.zeros(n - width + 1, np.uint64)
-        for k in range(width):
-            runs += mix(hashes[k : n - width + 1 + k] + np.uint64(k)) * np.uint64(_SHINGLE[k % 5])
-        runs = mix(runs)
+        for low in range(0, len(runs), BLOCK_BYTES):  # so that only the sums are as long as the text
+            own = runs[low : low + BLOCK_BYTES]
+            for k in range(width):
+                own += mix(hashes[low + k : low + k + len(own)] + np.uint64(k)) * np.uint64(_SHINGLE[k % 5])
+            own[:] = mix(own)
     out = []
     for a, b in zip(begins[:-1].tolist(), begins[1:].tolist()):
         if b - a >= width:
