@@ -27,13 +27,22 @@ def _placed(rows: DataFrame, *order: str | Column) -> DataFrame:
     )
 
 
-def _shift(counts: list) -> Column:
+def _shift(counts: list, part: Column | None = None) -> Column:
     """For each partition what all before it count. ``counts`` holds (part, n), one per partition."""
     before, entries = 0, []
     for part, n in sorted(map(tuple, counts)):
         entries += [F.lit(part), F.lit(before).cast("long")]
         before += n
-    return F.element_at(F.create_map(*entries), _part()) if entries else F.lit(0).cast("long")
+    part = _part() if part is None else part
+    return F.element_at(F.create_map(*entries), part) if entries else F.lit(0).cast("long")
+
+
+def dense_number(rows: DataFrame, place: str) -> Column:
+    """Number, from 0 without gaps, of the place that ``monotonically_increasing_id`` gave a row.
+    ``rows`` must be a written table; one count per partition reaches the driver."""
+    moved = rows.select(F.col(place).alias("_place"))
+    shift = _shift(moved.groupBy(_part().alias("part")).agg(F.count("*")).collect(), F.shiftright(place, 33))
+    return F.col(place).bitwiseAND(F.lit((1 << 33) - 1)) + shift
 
 
 def numbered(rows: DataFrame, *order: str | Column, name: str = "pos") -> DataFrame:
@@ -47,7 +56,7 @@ def numbered(rows: DataFrame, *order: str | Column, name: str = "pos") -> DataFr
 
 
 def numbered_with_bounds(rows: DataFrame, bounds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``rows`` (with a binary column ``key``) and ``bounds`` (with ``bound``) in one order, in one pass.
+    """``rows`` (with a column ``key``) and ``bounds`` (with ``bound`` of its type) in one order, in one pass.
 
     Rows get ascending numbers ``pos``; a bound gets the ``pos`` it has among them, which comes
     before an equal key, and ``n_before``, how many rows that is. The windows hold bounds only."""
