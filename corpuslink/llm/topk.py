@@ -2,15 +2,18 @@
 
 Vectors are turned into integers once. The rotation comes from the eigenvectors of their summed
 outer products (the right singular vectors of all data), so the first coordinates carry most of
-every vector. All vectors are sorted by length into slabs. Queries are taken in blocks, get a first
-threshold from the slab of the longest vectors, and then meet every slab: within it, runs of vectors
-in order of descending length are skipped once length times length falls below all thresholds; a
-vector is dropped for a query when its partial product plus the product of the remaining lengths
+every vector. All vectors are sorted by length into slabs, and runs of slabs make groups. Queries are
+taken in blocks, which get a first threshold from the slab of the longest vectors. From it follows
+how long a vector must be to matter to any query of a block, and, as groups are in order of length,
+how many of the first groups the block has to visit; the others never meet it. Vectors stay where
+they are dealt to, query blocks go to the groups. Within a group, runs of vectors in order of
+descending length are skipped once length times length falls below all thresholds; a vector is
+dropped for a query when its partial product plus the product of the remaining lengths
 (Cauchy-Schwarz) stays below the threshold; only the rest is scored, in integers. Bounds carry a
 margin for rounding, so nothing is lost.
 
-Slabs and query blocks have bounded sizes; what a task holds is one of each. The driver sees the
-square matrix of outer products and one slab.
+Slabs, groups and query blocks have bounded sizes; what a task holds is one group and a batch of
+blocks. The driver sees the square matrix of outer products, one slab and a count per partition.
 
 Vectors that are null, empty or hold null or non-finite components take no part. Vectors shorter
 than the longest one are filled up with zeros. A query meets all rows but those with its own id;
@@ -29,13 +32,16 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuslink.llm.grouped_stream import held_then_streamed
+from corpuslink.operators.ordering import dense_number, numbered_with_bounds
 from corpuslink.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLAB = 4096
+GROUP_SLABS = 8
 RUN = 512
-QUERY_BLOCK = 2048
+QUERY_BLOCK = 512
 
 
 def integer_vectors(table: DataFrame, id_column: str, vector_column: str, scale: int = 1024) -> DataFrame:
@@ -117,19 +123,31 @@ def _opened(ids: bytes, v: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(ids, np.int64), np.frombuffer(v, np.int64).reshape(-1, width)
 
 
+class Turned:
+    """Vectors of a slab or group with their rotated form, their lengths and those of their tails."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, turn: np.ndarray, head: int):
+        self.ids, self.vectors, self.x = ids, vectors, vectors @ turn
+        self.length = np.sqrt((self.x * self.x).sum(1))
+        self.tail = np.sqrt((self.x[:, head:] ** 2).sum(1))
+
+
 class Searcher:
-    """Best ``k`` of one slab for the queries of one block, given what they have already."""
+    """Best ``k`` of some vectors for the queries of one block, given what they have already."""
 
     def __init__(self, turn: np.ndarray, k: int, head: int):
         self.turn, self.k, self.head = turn, k, head
 
-    def search(self, query_ids, queries, thresholds, ids, vectors):
-        """Rows (query row, vector row, score) that are among the k best of this slab and not below
+    def turned(self, ids: np.ndarray, vectors: np.ndarray) -> Turned:
+        return Turned(ids, vectors, self.turn, self.head)
+
+    def search(self, query_ids, queries, thresholds, held: Turned):
+        """Rows (query row, vector row, score) that are among the k best of ``held`` and not below
         the thresholds. A threshold is a score that k other vectors are known to reach."""
-        q, x = queries @ self.turn, vectors @ self.turn
-        q_len, x_len = np.sqrt((q * q).sum(1)), np.sqrt((x * x).sum(1))
+        ids, vectors, x, x_len, x_tail = held.ids, held.vectors, held.x, held.length, held.tail
+        q = queries @ self.turn
+        q_len = np.sqrt((q * q).sum(1))
         q_tail = np.sqrt((q[:, self.head :] ** 2).sum(1))
-        x_tail = np.sqrt((x[:, self.head :] ** 2).sum(1))
         order = np.lexsort((ids, -x_len))
         thresholds = thresholds.copy()
         kept = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
@@ -163,6 +181,26 @@ class Searcher:
         return kept
 
 
+def least_length(queries: np.ndarray, thresholds: np.ndarray) -> float:
+    """Vectors shorter than this reach no threshold of any of the queries."""
+    lengths = np.sqrt((queries.astype(float) ** 2).sum(1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        needed = (thresholds - 1e-6) / (lengths * (1 + 1e-9))
+    return float(np.where(lengths > 0, needed, -np.inf).min())
+
+
+def _visits(queries: DataFrame, groups: DataFrame) -> DataFrame:
+    """Query blocks (with ``need``, the least length that matters) once for every group they have to
+    visit. ``groups`` (``g``, ``longest``) are numbered in order of descending length."""
+    bounds = queries.select("block", F.col("need").alias("bound"))
+    # Groups at least that long come before the bound.
+    _, placed = numbered_with_bounds(
+        groups.select((-F.col("longest")).alias("key"), "g"), bounds.withColumn("bound", -F.col("bound") + F.abs("bound") * 1e-12 + 1e-9)
+    )
+    most = placed.where("n_before > 0").select("block", "n_before")
+    return queries.join(most, "block").withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_before") - 1)))
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` best of ``vectors`` (``vec_id``,
     ``v``) for each row that ``is_query`` picks."""
@@ -185,44 +223,51 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     longest = slabs.orderBy(F.desc("longest"), "block").first()  # one slab
     first_ids, first_v = _opened(longest["ids"], longest["v"], width)
     searcher = Searcher(turn, k, head)
+    # Slabs are in order of length along the partitions, so their numbers make groups in that order.
+    slabs = slabs.withColumn("g", F.floor(dense_number(slabs, "block") / GROUP_SLABS))
+    groups = cut_lineage(slabs.groupBy("g").agg(F.max("longest").alias("longest")))
     blocks = max(1, -(-seen[2] // QUERY_BLOCK))
     asked = stored.where(is_query).repartition(blocks, "vec_id")
     queries = _blocked(asked, width, QUERY_BLOCK)
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = searcher.turned(first_ids, first_v)
         for batch in batches:
             for r in batch.to_pylist():
                 ids, v = _opened(r["ids"], r["v"], width)
                 none = np.full(len(ids), -np.inf)
-                rows, _, score = searcher.search(ids, v, none, first_ids, first_v)
-                first = np.searchsorted(rows, np.arange(len(ids)))
-                last = np.searchsorted(rows, np.arange(len(ids)), side="right")
-                none[last - first == k] = score[last[last - first == k] - 1]
-                yield pa.RecordBatch.from_pylist([r | {"least": none.tobytes()}])
-
-    queries = cut_lineage(queries.mapInArrow(start, f"{_BLOCK}, least binary"))
-    numbers = queries.select("block").distinct()
-    pairs = (
-        slabs.drop("block", "longest")
-        .withColumn("block", F.explode(F.lit([r[0] for r in numbers.collect()])))  # one number per query block
-        .join(queries.select("block", F.col("ids").alias("q_ids"), F.col("v").alias("q_v"), "least"), "block")
+                rows, _, score = searcher.search(ids, v, none, first)
+                begin = np.searchsorted(rows, np.arange(len(ids)))
+                end = np.searchsorted(rows, np.arange(len(ids)), side="right")
+                none[end - begin == k] = score[end[end - begin == k] - 1]
+                yield pa.RecordBatch.from_pylist([r | {"least": none.tobytes(), "need": max(least_length(v, none), -1.0)}])
+
+    queries = cut_lineage(queries.mapInArrow(start, f"{_BLOCK}, least binary, need double"))
+    visits = _visits(queries, groups).select(
+        "g", "block", F.col("ids").alias("q_ids"), F.col("v").alias("q_v"), "least"
     )
+    dealt = held_then_streamed(slabs.select("g", "ids", "v"), visits, "g", groups.count())
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held, turned = None, [], None
         for batch in batches:
             for i in range(batch.num_rows):
-                r = {c: batch[c][i].as_py() for c in ("ids", "v", "q_ids", "q_v", "least")}
-                ids, v = _opened(r["ids"], r["v"], width)
+                r = {c: batch[c][i].as_py() for c in ("g", "streamed_row", "ids", "v", "block", "q_ids", "q_v", "least")}
+                if r["g"] != group:
+                    group, held, turned = r["g"], [], None
+                if not r["streamed_row"]:
+                    held.append(_opened(r["ids"], r["v"], width))
+                    continue
+                if turned is None:
+                    turned, held = searcher.turned(*(np.concatenate(c) for c in zip(*held))), []
                 q_ids, q_v = _opened(r["q_ids"], r["q_v"], width)
-                a, b, score = searcher.search(q_ids, q_v, np.frombuffer(r["least"]), ids, v)
+                a, b, score = searcher.search(q_ids, q_v, np.frombuffer(r["least"]), turned)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[a]), pa.array(ids[b]), pa.array(score), pa.array(a), pa.array(np.full(len(a), batch["block"][i].as_py()))],
+                    [pa.array(q_ids[a]), pa.array(turned.ids[b]), pa.array(score), pa.array(a), pa.array(np.full(len(a), r["block"]))],
                     names=["query_id", "vec_id", "score", "place", "block"],
                 )
 
-    found = pairs.select("ids", "v", "q_ids", "q_v", "least", "block").mapInArrow(
-        meet, "query_id bigint, vec_id bigint, score bigint, place bigint, block bigint"
-    )
+    found = dealt.mapInArrow(meet, "query_id bigint, vec_id bigint, score bigint, place bigint, block bigint")
     best = Window.partitionBy("query_id", "block", "place").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))

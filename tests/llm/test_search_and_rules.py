@@ -32,7 +32,7 @@ def vectors():
 
 
 def test_top_k_equals_brute_force(spark, vectors, monkeypatch):
-    for name, size in (("SLAB", 64), ("RUN", 16), ("QUERY_BLOCK", 8)):
+    for name, size in (("SLAB", 64), ("GROUP_SLABS", 2), ("RUN", 16), ("QUERY_BLOCK", 8)):
         monkeypatch.setattr(topk, name, size)
     table = spark.createDataFrame(vectors, "vec_id long, e array<double>").withColumn("norm", F.lit("x")).repartition(3)
     got = topk.top_k(topk.integer_vectors(table, "vec_id", "e"), F.col("vec_id") % 10 == 0, k=10)
@@ -60,7 +60,7 @@ def test_pruning_leaves_work_out(vectors):
     original = np.einsum
     try:
         topk.np.einsum = lambda *a: seen.append(len(a[1])) or original(*a)
-        a, b, score = searcher.search(np.arange(10), x[:10], np.full(10, -np.inf), np.arange(2000), x)
+        a, b, score = searcher.search(np.arange(10), x[:10], np.full(10, -np.inf), searcher.turned(np.arange(2000), x))
     finally:
         topk.np.einsum = original
     assert sum(seen) < 0.5 * 10 * 2000
@@ -70,6 +70,23 @@ def test_pruning_leaves_work_out(vectors):
         assert sorted(score[a == q]) == sorted(np.sort(exact[q])[-5:])
 
 
+def test_blocks_visit_only_groups_that_matter(spark, monkeypatch):
+    """Vectors of mixed lengths: of 30 and more groups a query block meets a few, and loses nothing."""
+    for name, size in (("SLAB", 32), ("GROUP_SLABS", 1), ("RUN", 16), ("QUERY_BLOCK", 4)):
+        monkeypatch.setattr(topk, name, size)
+    seen = []
+    original = topk._visits
+    monkeypatch.setattr(topk, "_visits", lambda q, g: seen.append((q.count(), g.count())) or keep(original(q, g)))
+    keep = lambda df: seen.append(df.count()) or df
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 1) * (3.0 if i % 10 == 0 else 0.3) for _ in range(6)]) for i in range(1000)]
+    table = spark.createDataFrame(rows, "vec_id long, e array<double>").repartition(4)
+    got = topk.top_k(topk.integer_vectors(table, "vec_id", "e"), F.col("vec_id") % 100 == 0, k=5)
+    assert sorted(map(tuple, got.collect())) == _brute_top(rows, lambda i: i % 100 == 0, 5)
+    (blocks, groups), visits = seen
+    assert groups >= 30 and visits < 0.5 * blocks * groups
+
+
 RULES = [
     ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
     ("a.example.net", "/", "block"), ("a.example.net", "/en/x", "allow"), ("a-b.net", "", "allow"), ("Example.ORG", "/", "block"),
