@@ -96,6 +96,11 @@ def events(html: Column, shape: BlockShape) -> Column:
     return F.flatten(F.transform(pieces, lambda p: read(p["piece"], p["tag"], p["ended"])))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _element(tag: Column, after: Column, block: Column, titles: Column, descs: Column) -> Column:
     return F.struct(
         tag.alias("tag"), after.cast("int").alias("after"), block.cast("int").alias("block"), titles.alias("titles"), descs.alias("descs")
@@ -136,10 +141,7 @@ def _fold(shape: BlockShape):
         gap = F.element_at(stack, -1)["after"]
         outer = F.filter(F.transform(stack, lambda e: e["block"]), lambda b: b >= 0)
         lacks = lambda name: F.filter(outer, lambda b: F.get(found, b)[name].isNull())
-        titles = F.when(fits(event, shape.title), lacks("t0")).otherwise(nobody)
-        descs = F.when(fits(event, shape.desc), lacks("d0")).otherwise(nobody)
-        is_block = event["tag"] == shape.tag
-        element = _element(event["tag"], none, F.when(is_block, F.size(found)).otherwise(-1), titles, descs)
+        is_title, is_desc, is_block = fits(event, shape.title), fits(event, shape.desc), event["tag"] == shape.tag
         begun = F.struct(
             event["class"].alias("class"),
             F.coalesce(gap == _NOTHING, F.lit(False)).alias("adjacent"),
@@ -150,43 +152,56 @@ def _fold(shape: BlockShape):
             none.alias("d1"),
         )
 
-        def taken(block: Column, place: Column) -> Column:
-            return _block(
+        def taking(parts: Column) -> Column:
+            """The next state for an element that opens a part of some blocks, or is a block."""
+            titles, descs = parts["titles"], parts["descs"]
+            taken = lambda block, place: _block(
                 block,
                 t0=F.when(F.array_contains(titles, place), at).otherwise(block["t0"]),
                 d0=F.when(F.array_contains(descs, place), at).otherwise(block["d0"]),
             )
+            marked = F.when((F.size(titles) > 0) | (F.size(descs) > 0), F.transform(found, taken)).otherwise(found)
+            element = _element(event["tag"], none, F.when(is_block, F.size(found)).otherwise(-1), titles, descs)
+            return _state(
+                at,
+                F.concat(_with_after(stack, none), F.array(element)),
+                F.when(is_block, F.concat(marked, F.array(begun))).otherwise(marked),
+            )
 
-        marked = F.when((F.size(titles) > 0) | (F.size(descs) > 0), F.transform(found, taken)).otherwise(found)
-        return _state(
-            at,
-            F.concat(_with_after(stack, none), F.array(element)),
-            F.when(is_block, F.concat(marked, F.array(begun))).otherwise(marked),
+        plain = _state(at, F.concat(_with_after(stack, none), F.array(_element(event["tag"], none, F.lit(-1), nobody, nobody))), found)
+        parts = F.struct(
+            F.when(is_title, lacks("t0")).otherwise(nobody).alias("titles"), F.when(is_desc, lacks("d0")).otherwise(nobody).alias("descs")
         )
+        return F.when(is_title | is_desc | is_block, _let(parts, taking)).otherwise(plain)
 
     def closed(state: Column, event: Column) -> Column:
         at, stack, found = state["at"], state["stack"], state["found"]
-        tags = F.transform(stack, lambda e: e["tag"])
-        # The root has an empty tag, which no event has.
-        back = F.array_position(F.reverse(tags), event["tag"]).cast("int")
-        left = F.slice(stack, F.lit(1), F.size(stack) - back)
-        gone = F.slice(stack, F.size(stack) - back + 1, back)
-        first = F.element_at(gone, 1)
-        ends = lambda name: F.flatten(F.transform(gone, lambda e: e[name]))
-        whole = F.transform(gone, lambda e: e["block"]) if shape.desc is None else ends("descs")
-
-        def ended(block: Column, place: Column) -> Column:
-            return _block(
-                block,
-                t1=F.when(F.array_contains(ends("titles"), place), at).otherwise(block["t1"]),
-                d1=F.when(F.array_contains(whole, place), at).otherwise(block["d1"]),
+        whole_block = shape.desc is None
+
+        def popped(back: Column) -> Column:
+            """The next state when the ``back`` innermost elements close."""
+
+            def ended(ends: Column) -> Column:
+                done = lambda block, place: _block(
+                    block,
+                    t1=F.when(F.array_contains(ends["titles"], place), at).otherwise(block["t1"]),
+                    d1=F.when(F.array_contains(ends["descs"], place), at).otherwise(block["d1"]),
+                )
+                return F.when((F.size(ends["titles"]) > 0) | (F.size(ends["descs"]) > 0), F.transform(found, done)).otherwise(found)
+
+            gone = F.slice(stack, F.size(stack) - back + 1, back)
+            blocks_of_gone = F.filter(F.transform(gone, lambda e: e["block"]), lambda b: b >= 0)
+            ends = F.struct(
+                F.flatten(F.transform(gone, lambda e: e["titles"])).alias("titles"),
+                (blocks_of_gone if whole_block else F.flatten(F.transform(gone, lambda e: e["descs"]))).alias("descs"),
             )
+            after = F.when(F.get(stack, F.size(stack) - back)["block"] >= 0, F.lit(_NOTHING))
+            left = _let(F.slice(stack, F.lit(1), F.size(stack) - back), lambda rest: _with_after(rest, after))
+            return F.when(back > 0, _state(at, left, _let(ends, ended))).otherwise(_state(at, stack, found))
 
-        touched = F.exists(gone, lambda e: (F.size(e["titles"]) > 0) | (F.size(e["descs"]) > 0) | (e["block"] >= 0))
-        after = F.when(first["block"] >= 0, F.lit(_NOTHING))
-        return F.when(
-            back > 0, _state(at, _with_after(left, after), F.when(touched, F.transform(found, ended)).otherwise(found))
-        ).otherwise(_state(at, stack, found))
+        # The root has an empty tag, which no event has.
+        tags = F.transform(stack, lambda e: e["tag"])
+        return _let(F.array_position(F.reverse(tags), event["tag"]).cast("int"), popped)
 
     def said(state: Column, event: Column) -> Column:
         stack = state["stack"]
