@@ -42,6 +42,11 @@ def _event(kind: str, tag: Column | None = None, classes: Column | None = None,
     return F.struct(F.lit(kind).alias("kind"), *[(void if c is None else c).alias(n) for n, c in parts.items()])
 
 
+def _one_of(tag: Column, names: set[str]) -> Column:
+    """One pattern instead of a literal per name: the plan is made and read faster."""
+    return tag.rlike(rf"\A(?:{'|'.join(sorted(names))})\z")
+
+
 def _class_of(start_tag: Column) -> Column:
     """Value of the last class attribute, empty without one."""
     inside = F.regexp_replace(start_tag, _TAG, "")
@@ -57,9 +62,9 @@ def events(html: Column, shape: BlockShape) -> Column:
     named = {shape.tag, shape.title[0], *([shape.desc[0]] if shape.desc else [])}
 
     def started(piece: Column, tag: Column) -> Column:
-        classes = F.when(tag.isin(sorted(named)), _class_of(piece))
+        classes = F.when(_one_of(tag, named), _class_of(piece))
         opened = F.when(
-            tag.isin(sorted(CLOSES_P)), F.array(_event("close", F.lit("p")), _event("open", tag, classes))
+            _one_of(tag, CLOSES_P), F.array(_event("close", F.lit("p")), _event("open", tag, classes))
         ).otherwise(F.array(_event("open", tag, classes)))
         closed = F.array(_event("close", tag))
         content = F.regexp_replace(F.regexp_replace(piece, _RAW, ""), _RAW_END, "")
@@ -70,8 +75,8 @@ def events(html: Column, shape: BlockShape) -> Column:
         return (
             F.when(tag.isin("script", "style", "textarea", "title"), F.concat(opened, F.coalesce(shown, none), F.coalesce(ended, none)))
             .when(
-                tag.isin(sorted(VOID)),
-                F.concat(F.when(tag.isin(sorted(CLOSES_P & VOID)), is_p).otherwise(none), F.array(_event("void", tag))),
+                _one_of(tag, VOID),
+                F.concat(F.when(_one_of(tag, CLOSES_P & VOID), is_p).otherwise(none), F.array(_event("void", tag))),
             )
             .when(piece.endswith("/>") & piece.rlike(_SELF_CLOSED), F.concat(opened, closed))
             .otherwise(opened)
