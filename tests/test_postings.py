@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuslink.operators import postings as P
+from corpuslink.operators import prefix_intervals as intervals
 from corpuslink.operators.ordering import numbered, rank_among
 from tests.conftest import rows
 
@@ -82,3 +83,24 @@ def test_numbers_and_ranks(spark):
     keys = got.select(F.col("word").cast("binary").alias("key"))
     ranks = {bytes(x.bound).decode(): x["rank"] for x in rank_among(asked, keys).collect()}
     assert ranks == {b: sum(w.encode() <= b.encode() for w in words) for b in bounds}
+
+
+def test_numbers_over_several_partitions(spark):
+    """The runtime merges small partitions; here it may not."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        r = random.Random(3)
+        words = sorted({"".join(r.choices("abcd", k=r.randint(1, 6))) for _ in range(400)})
+        frame = spark.createDataFrame([(w,) for w in words], "word string").repartition(3)
+        got = numbered(frame, "word")
+        assert [(x.pos, x.word) for x in got.orderBy("pos").collect()] == list(enumerate(words))
+        asked = spark.createDataFrame([(p,) for p in ("", "a", "b", "ca", "dd", "e")], "prefix string")
+        index = intervals.number_words(frame)
+        want = {p: sum(w.startswith(p) for w in words) for p in ("", "a", "b", "ca", "dd")}
+        for given in (frame, index):
+            placed, spans = intervals.words_and_spans(given, asked)
+            assert {x.prefix: x.n_words for x in spans.collect()} == want
+            assert intervals.covered(placed, spans).count() == sum(want.values())
+    finally:
+        spark.conf.unset(key)
