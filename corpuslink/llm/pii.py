@@ -230,8 +230,8 @@ def find_personal_data(docs: DataFrame, fit_rows: int = FIT_ROWS, precision: flo
 
 
 def personal_data(docs: DataFrame, fit_rows: int = FIT_ROWS, precision: float = PRECISION) -> DataFrame:
-    """Per row the number of spans of each kind, the digest of the base spans, all spans and the
-    number of those added."""
+    """Per row the number of spans of each kind, the digest of the base spans, all spans, the number
+    of those added, and the number of base spans of each kind (``n_base_*``)."""
     rows, spans = find_personal_data(docs, fit_rows, precision)
     number = F.array_position(F.array(*(F.lit(k) for k in KINDS)), F.col("kind"))
     item = F.struct(number.alias("no"), "start", "end", "base", F.concat_ws(":", "kind", "start", "end").alias("text"))
@@ -239,13 +239,15 @@ def personal_data(docs: DataFrame, fit_rows: int = FIT_ROWS, precision: float =
     held = spans.groupBy("row").agg(
         *(F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in KINDS),
         F.count(F.when(~F.col("base"), 1)).alias("n_added"),
+        *(F.count(F.when(F.col("base") & (F.col("kind") == k), 1)).alias(f"n_base_{k}") for k in KINDS),
         F.sort_array(F.collect_list(item)).alias("items"),
     )
-    counts = [F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS]
+    number_of = lambda name: F.coalesce(name, F.lit(0)).cast("long").alias(name)
     return rows.join(held, "row", "left").select(
         "doc_id",
-        *counts,
+        *(number_of(f"n_{k}") for k in KINDS),
         F.sha2(F.coalesce(listed(F.filter("items", lambda x: x["base"])), F.lit("")), 256).alias("base_sha256"),
         F.coalesce(listed(F.col("items")), F.lit("")).alias("spans"),
-        F.coalesce("n_added", F.lit(0)).cast("long").alias("n_added"),
+        number_of("n_added"),
+        *(number_of(f"n_base_{k}") for k in KINDS),
     )

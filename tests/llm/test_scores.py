@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpuslink.llm import mixing, pii, toxicity
+from corpuslink.llm import mixing, pii, queries, toxicity
 
 
 @settings(max_examples=150, deadline=None)
@@ -154,6 +154,19 @@ def test_numbers_inside_failing_runs_are_added(frame):
     assert (r.n_card, r.n_added, r.spans) == (2, 2, "card:5:21,card:22:38")
 
 
+def test_query_counts_base_spans(spark, frame, tmp_path):
+    rng = random.Random(2)
+    good = ["4111111111111111", "5500005555555559", "4012888888881881"]
+    rows = [(i, f"pay {rng.choice(good)} now") for i in range(200)] + [(200 + i, t) for i, t in enumerate(_wrong_cards(200))]
+    rows.append((999, f"both {good[0]} {good[1]} end"))
+    frame(rows, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    by = {r.doc_id: r for r in queries.op3_pii(spark, str(tmp_path)).collect()}
+    assert (by[999].n_card, by[999].n_added, by[999].spans) == (0, 2, "card:5:21,card:22:38")
+    for i, text in rows:
+        counts = collections.Counter(kind for kind, *_ in _base_spans(text))
+        assert (by[i].n_email, by[i].n_ip, by[i].n_card, by[i].n_phone) == tuple(counts[k] for k in pii.KINDS)
+
+
 def test_phones_of_single_digits(frame):
     text = "+1 (2) (3) (4) (5) (6) (7) (8) (9)"
     (r,) = pii.personal_data(frame([(1, text)])).collect()
