@@ -293,16 +293,24 @@ _BLANK = "\x00"
 
 def _wildcards(words: DataFrame) -> DataFrame:
     """``(word, at, key)``: each distinct word with every two places (the only one of a word of one
-    letter) blanked, of those that have a neighbouring key."""
+    letter) blanked, of those that have a neighbouring key. ``at`` holds the places ``i`` and ``j``
+    and whether each is the partner of the other: the next place, of the last one the one before."""
     places = F.filter(
         F.sequence(F.lit(1), F.char_length("word")),
         lambda i: F.size(nearby_keys(F.substring(F.col("word"), i, F.lit(1)))) > 0,
     )
+    held, word = F.col("places"), F.col("word")
+    at = lambda i, j, first, last: F.struct(i.alias("i"), j.alias("j"), first.alias("first"), last.alias("last"))
     pairs = F.flatten(
-        F.transform(places, lambda i: F.transform(F.filter(places, lambda j: j > i), lambda j: F.struct(i.alias("i"), j.alias("j"))))
+        F.transform(
+            held,
+            lambda i, a: F.transform(
+                F.slice(held, a + 2, F.size(held)),
+                lambda j, b: at(i, j, b == 0, (b == 0) & (a + 2 == F.size(held))),
+            ),
+        )
     )
-    single = F.transform(places, lambda i: F.struct(i.alias("i"), i.alias("j")))
-    word = F.col("word")
+    single = F.transform(held, lambda i: at(i, i, F.lit(False), F.lit(False)))
     blanked = F.when(
         F.col("at.i") == F.col("at.j"),
         F.concat(F.left(word, F.col("at.i") - 1), F.lit(_BLANK), F.substring(word, F.col("at.i") + 1, F.char_length(word))),
@@ -315,8 +323,9 @@ def _wildcards(words: DataFrame) -> DataFrame:
     )
     return (
         words.select("word").where(F.col("word") != "").distinct()
-        .select("word", places.alias("places"), F.explode(F.when(F.size(places) < 2, single).otherwise(pairs)).alias("at"))
-        .select("word", "places", "at", blanked.alias("key"))
+        .withColumn("places", places)
+        .select("word", F.explode(F.when(F.size("places") < 2, single).otherwise(pairs)).alias("at"))
+        .select("word", "at", blanked.alias("key"))
     )
 
 
@@ -326,26 +335,23 @@ def keyboard_suggestions_two(typed: DataFrame, words: DataFrame) -> DataFrame:
 
     Both sides are blanked at two places and joined by what is left; the letters at the blanks are
     then looked up in the neighbour table. No typed word is expanded into its variants. A key is
-    shared by at most as many words as two letters can differ."""
+    shared by at most as many words as two letters can differ. The join is a merge join on purpose:
+    either side has many keys for a word, so the size of its words says nothing of its own."""
     asked = _wildcards(typed)
-    known = _wildcards(words).select("key", F.col("word").alias("suggestion"), F.col("at").alias("own"))
+    known = _wildcards(words).select("key", F.col("word").alias("suggestion"), F.col("at.i").alias("own_i"), F.col("at.j").alias("own_j"))
     letter = lambda word, place: F.substring(F.col(word), F.col(place), F.lit(1))
     same = lambda place: letter("word", place) == letter("suggestion", place)
     near = lambda place: F.array_contains(nearby_keys(letter("word", place)), letter("suggestion", place))
     single = F.col("at.i") == F.col("at.j")
     # A word that differs in one letter only is taken with the next place, or the last but one.
-    partner = lambda place: F.coalesce(
-        F.get("places", F.array_position("places", F.col(place)).cast("int")),
-        F.get("places", F.array_position("places", F.col(place)).cast("int") - 2),
-    )
     fits = (
         (single & near("at.i"))
         | (~single & near("at.i") & near("at.j"))
-        | (~single & near("at.i") & same("at.j") & (partner("at.i") == F.col("at.j")))
-        | (~single & same("at.i") & near("at.j") & (partner("at.j") == F.col("at.i")))
+        | (F.col("at.first") & near("at.i") & same("at.j"))
+        | (F.col("at.last") & same("at.i") & near("at.j"))
     )
     # Both sides must be blanked at the same places: letters with a neighbour keep one when changed.
-    met = asked.join(known, "key").where((F.col("at") == F.col("own")) & fits)
+    met = asked.join(known.hint("merge"), "key").where((F.col("at.i") == F.col("own_i")) & (F.col("at.j") == F.col("own_j")) & fits)
     return (
         met.groupBy("word")
         .agg(F.sort_array(F.collect_list("suggestion")).alias("suggestions"))

@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from corpuslink.functions.text import NEARBY_KEYS
 from corpuslink.operators import prefix as P
 from corpuslink.sources.wordlist import read_word_list
 from corpuslink.streaming import prefix_stream
@@ -118,3 +119,24 @@ def test_stream_over_a_file_and_over_a_folder(spark, tmp_path):
             assert sorted(map(tuple, prefix_stream.run_available(stream, again).collect())) == want
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         prefix_stream.stream_table(spark, str(tmp_path / "none.parquet"))
+
+
+def test_two_keys_away_without_a_broadcast(spark):
+    rng = random.Random(5)
+    vocabulary = sorted({"".join(rng.choice("asdqwe1") for _ in range(rng.randint(1, 4))) for _ in range(150)})
+    typed = vocabulary[::3]
+    near = lambda a, b: b in NEARBY_KEYS.get(a, [])
+    expected = {}
+    for w in typed:
+        hits = []
+        for v in vocabulary:
+            changed = [(a, b) for a, b in zip(w, v) if a != b]
+            if len(w) == len(v) and 1 <= len(changed) <= 2 and all(near(a, b) for a, b in changed):
+                hits.append(v)
+        if 1 <= len(hits) <= P.MAX_SUGGESTED:
+            expected[w] = hits
+    as_words = lambda values: spark.createDataFrame([(v,) for v in values], "word string")
+    found = P.keyboard_suggestions_two(as_words(typed), as_words(vocabulary))
+    assert {r.word: r.suggestions for r in found.collect()} == expected and expected
+    # The keys of a small table need not be small: no side may be gathered on the driver.
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
