@@ -1,8 +1,10 @@
 """Character models: train per label, score texts, pick the most likely label.
 
 A model of order k counts grams of k+1 characters and their k-character contexts over circular
-text. Everything is counted before it is joined: grams combine map-side, and a text meets the
-model once per distinct gram.
+text. Grams combine map-side when they are counted. A model of up to ``MODEL_GRAMS`` grams goes to
+the texts: its terms are broadcast, every position looks its term up and the sums combine map-side,
+so one row per text and task is shuffled. With a larger model the grams of the texts are counted
+and joined to it instead.
 """
 
 from __future__ import annotations
@@ -10,12 +12,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslink.functions.grams import circular_pieces, context_of, piece_grams, smoothed_log
 from corpuslink.session import cut_lineage
 
+#: Distinct grams up to which a model is broadcast. Their number depends on the alphabet, not on the
+#: length of the texts.
+MODEL_GRAMS = 1 << 18
+
 
 def _check_order(k: int) -> None:
     if k < 1:
@@ -153,17 +159,60 @@ def gram_terms(model: TextModel, asked: DataFrame) -> DataFrame:
     return known.withColumn("sizes", sizes.scalar()).select("gram", terms.alias("terms"))
 
 
-def _label_rows(model: TextModel, texts: DataFrame, key: str) -> DataFrame:
-    """``(key, rows)``: per text an array with label, position, log probability and score."""
+def _model_terms(model: TextModel) -> tuple[DataFrame, DataFrame, list[Column]]:
+    """``(gram, t0, t1, ..)`` for the grams of the model, ``(context, u0, u1, ..)`` for grams it has
+    not seen in a context it has, and the terms in a context it has not; one per label."""
+    sizes = {row["label"]: row["n_chars"] for row in model.alphabet.collect()}  # one row per label
+    contexts = _per_label(model.contexts, "context", model.labels).withColumnRenamed("counts", "ctx")
+    grams = _per_label(model.grams, "gram", model.labels).withColumnRenamed("counts", "seq")
+    count = lambda counts, i: F.coalesce(F.try_element_at(counts, F.lit(i)), F.lit(0))
+    size = [F.lit(sizes.get(name)).cast("long") for name in model.labels]
+    known = grams.withColumn("context", context_of(F.col("gram"), model.k)).join(contexts, "context")
+    seen = known.select(
+        "gram", *[smoothed_log(count("seq", i), count("ctx", i), n).alias(f"t{i}") for i, n in enumerate(size)]
+    )
+    unseen = contexts.select(
+        "context", *[smoothed_log(F.lit(0), count("ctx", i), n).alias(f"u{i}") for i, n in enumerate(size)]
+    )
+    nowhere = [smoothed_log(F.lit(0), F.lit(0), n) for n in size]
+    return seen, unseen, nowhere
+
+
+def _sums_by_broadcast(model: TextModel, texts: DataFrame, key: str) -> DataFrame:
+    """``(key, n_chars, t0, t1, ..)``: the sums of the terms of every position of a text."""
+    seen, unseen, nowhere = _model_terms(model)
+    pieces = texts.select(key, F.explode(circular_pieces(F.col("text"), model.k)).alias("piece"))
+    positions = pieces.select(key, F.explode(piece_grams(F.col("piece"), model.k)).alias("gram"))
+    # Bounded by MODEL_GRAMS, contexts are no more than grams.
+    found = positions.join(F.broadcast(cut_lineage(seen).withColumn("is_known", F.lit(True))), "gram", "left")
+    asked = F.when(F.col("is_known").isNull(), context_of(F.col("gram"), model.k))
+    found = found.withColumn("asked", asked).join(
+        F.broadcast(cut_lineage(unseen).withColumnRenamed("context", "asked").withColumn("is_near", F.lit(True))), "asked", "left"
+    )
+    term = lambda i: (
+        F.when(F.col("is_known"), F.col(f"t{i}")).when(F.col("is_near"), F.col(f"u{i}")).otherwise(nowhere[i])
+    )
+    sums = [F.sum(term(i)).alias(f"t{i}") for i in range(len(model.labels))]
+    return found.groupBy(key).agg(F.count("*").alias("n_chars"), *sums)
+
+
+def _sums_by_join(model: TextModel, texts: DataFrame, key: str) -> DataFrame:
+    """The same sums for a model that is too large to be broadcast."""
     counted = gram_counts(texts, model.k, keys=(key,))
     sums = [
         F.sum(F.col("n") * F.get("terms", F.lit(i))).alias(f"t{i}") for i in range(len(model.labels))
     ]
-    totals = (
+    return (
         counted.join(gram_terms(model, counted), "gram")
         .groupBy(key)
         .agg(F.sum("n").alias("n_chars"), *sums)
     )
+
+
+def _label_rows(model: TextModel, texts: DataFrame, key: str) -> DataFrame:
+    """``(key, rows)``: per text an array with label, position, log probability and score."""
+    n_grams = model.grams.select("gram").distinct().count()
+    totals = (_sums_by_broadcast if n_grams <= MODEL_GRAMS else _sums_by_join)(model, texts, key)
     rows = [
         F.struct(
             (F.col(f"t{i}") / F.col("n_chars")).alias("score"),

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -33,6 +34,19 @@ def test_fixture(spark):
     assert rows(M.too_short(texts, 1).select("doc_id")) == [(2,), (3,)]
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_scores_shuffle_no_grams_of_a_model_that_fits(spark, monkeypatch, most):
+    monkeypatch.setattr(M, "MODEL_GRAMS", most)
+    samples = spark.createDataFrame([("A", "abab"), ("B", "aabbc")], "label string, text string")
+    texts = spark.createDataFrame([(1, "abab"), (2, "bcd"), (2, "cab"), (3, "xyz")], "doc_id int, text string")
+    found = M.score(M.train(samples, 1, ["A", "B", "C"]), texts)
+    got = {(r.doc_id, r.label): r.log_prob for r in found.collect()}
+    assert math.isclose(got[1, "A"], 4 * math.log(0.75)) and math.isclose(got[3, "B"], 3 * math.log(1 / 3))
+    assert got[1, "C"] is None and len(got) == 9
+    exchanges = re.findall(r"hashpartitioning\(doc_id#\d+, gram", found._jdf.queryExecution().executedPlan().toString())
+    assert bool(exchanges) == (most == 0)
+
+
 def test_tie_goes_to_the_later_label(spark):
     samples = spark.createDataFrame([("A", "abab"), ("B", "abab")], "label string, text string")
     texts = spark.createDataFrame([(1, "abba")], "doc_id int, text string")
