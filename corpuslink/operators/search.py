@@ -95,19 +95,41 @@ def distances_from(gps: DataFrame, building: str) -> DataFrame:
     )
 
 
+#: Points per side of a square in which the points of a cell are compared.
+REACH_ROWS = 2048
+
+
 def buildings_within_reach(gps: DataFrame, minutes: float, others: DataFrame | None = None) -> DataFrame:
     """``(from_building, to_building, walking_time)`` for every row of ``gps`` and every row of another
     building of ``others`` (by default of ``gps``) that is at most ``minutes`` away.
 
     Points meet by an equi join on the cells of a grid as wide as the reach; the exact distance is
-    only taken there. Rows without a place reach nothing."""
+    only taken there. A cell with many points is compared in squares of about ``REACH_ROWS`` rows per
+    side, dealt over a fixed number of partitions, so no task grows with the densest cell. Rows
+    without a place reach nothing."""
     if minutes < 0:
         raise ValueError("minutes must not be negative")
     own, near = reach_cells(F.col("lon"), F.col("lat"), minutes)
     placed = lambda rows: rows.select("building_code", "lon", "lat").where("lon is not null and lat is not null")
     a = placed(gps).select(*[F.col(c).alias(f"{c}_a") for c in ("building_code", "lon", "lat")], F.explode(near).alias("at"))
     b = placed(gps if others is None else others).select("*", own.alias("at"))
-    met = a.select("*", "at.*").join(b.select("*", "at.*"), ["band", "cell"])
+    a, b = (side.select("*", "at.*").drop("at") for side in (a, b))
+    squares = F.ceil(F.count("*") / REACH_ROWS)
+    sizes = (
+        a.groupBy("band", "cell").agg(squares.alias("n_rows"))
+        .join(b.groupBy("band", "cell").agg(squares.alias("n_columns")), ["band", "cell"])
+    )
+    spot = lambda names, n: F.pmod(F.xxhash64(*names), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    a = a.join(sizes, ["band", "cell"]).withColumn("row", spot(["building_code_a", "lon_a", "lat_a"], "n_rows"))
+    b = b.join(sizes, ["band", "cell"]).withColumn("column", spot(["building_code", "lon", "lat"], "n_columns"))
+    a = a.withColumn("column", every("n_columns")).drop("n_rows", "n_columns")
+    b = b.withColumn("row", every("n_rows")).drop("n_rows", "n_columns")
+    on = ["band", "cell", "row", "column"]
+    spark = gps.sparkSession
+    # A number of its own keeps the runtime from merging partitions: they are small, their work is not.
+    width = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    met = a.repartition(width, *on).join(b.repartition(width, *on), on)
     return (
         met.where("building_code_a <> building_code")
         .withColumn("walking_time", walking_minutes(F.col("lon_a"), F.col("lat_a"), F.col("lon"), F.col("lat")))

@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpuslink.operators import search as S
 
@@ -52,3 +53,17 @@ def test_no_nested_loop_and_other_side(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert {r.to_building for r in found.collect()} == {"b3"}
     assert {r.from_building for r in found.collect()} == {"b0", "b1", "b2", "b4", "b5", "b6"}
+
+
+@pytest.mark.parametrize("most", [3, 2048])
+def test_a_dense_cell_is_compared_in_squares(spark, monkeypatch, most):
+    monkeypatch.setattr(S, "REACH_ROWS", most)
+    r = random.Random(8)
+    given = [(f"b{i}", -87.6 + r.gauss(0, 0.0005), 41.8 + r.gauss(0, 0.0005)) for i in range(70)]
+    gps = spark.createDataFrame(given, "building_code string, lon double, lat double").repartition(3)
+    found = S.buildings_within_reach(gps, 1)
+    got = sorted((r.from_building, r.to_building) for r in found.collect())
+    assert got == sorted((a[0], b[0]) for a in given for b in given if a[0] != b[0] and minutes(a[1:], b[1:]) <= 1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    assert found.groupBy(F.spark_partition_id()).count().count() > 4
