@@ -108,11 +108,11 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary of the documents: distinct word tokens, ordered by first appearance (document,
     then place in it). Both make one decimal of 38 digits, which holds any document id and combines
     in a hash aggregation; a minimum over a struct would need a sorted one."""
+    document = F.col("doc_id").cast("decimal(20,0)") * F.lit(WORDS_PER_DOCUMENT).cast("decimal(17,0)")
     tokens = texts(spark, sf_dir, "documents", "doc_id", "text").select(
-        "doc_id", F.posexplode(word_tokens(F.col("text"))).alias("pos", "token")
+        document.alias("document"), F.posexplode(word_tokens(F.col("text"))).alias("pos", "token")
     )
-    document = F.col("doc_id").cast("decimal(20,0)") * F.lit(WORDS_PER_DOCUMENT).cast("decimal(17,0)")
-    return distinct_words(tokens, "token", (document + F.col("pos")).cast("decimal(38,0)"))
+    return distinct_words(tokens, "token", (F.col("document") + F.col("pos")).cast("decimal(38,0)"), stripped=True)
 
 
 def stored_words(spark: SparkSession, sf_dir: str) -> DataFrame:

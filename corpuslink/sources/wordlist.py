@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from corpuslink.functions.text import strip
 
 
-def distinct_words(lines: DataFrame, text: str | Column, order: str | Column | None = None) -> DataFrame:
+def distinct_words(
+    lines: DataFrame, text: str | Column, order: str | Column | None = None, stripped: bool = False
+) -> DataFrame:
     """Dictionary ``(word[, line_no])``: stripped lines, blanks and repeats dropped.
 
     ``order`` is any orderable expression; the smallest one per word is kept as ``line_no``.
+    ``stripped`` lines, such as word tokens, have no blanks at their ends to look for.
     """
     text = F.col(text) if isinstance(text, str) else text
     order = F.col(order) if isinstance(order, str) else order
-    columns = [strip(text).alias("word")] + ([] if order is None else [order.alias("line_no")])
+    columns = [(text if stripped else strip(text)).alias("word")] + ([] if order is None else [order.alias("line_no")])
     words = lines.select(*columns).where(F.col("word") != "")
     if order is None:
         return words.distinct()

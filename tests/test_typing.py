@@ -81,3 +81,26 @@ def test_state_after_the_last_word(spark, tmp_path):
 def stream_of(spark, tmp_path, rows):
     spark.createDataFrame(rows, "session int, seq int, chars string").write.json(str(tmp_path / "typed"))
     return spark.readStream.schema("session int, seq int, chars string").json(str(tmp_path / "typed"))
+
+
+def test_sessions_are_rows_and_states_are_compacted(spark, tmp_path, want, monkeypatch):
+    monkeypatch.setattr(T, "COMPACT_EVERY", 2)
+    given = [(i if i != 5 else None, n, c) for i, n, c in pieces(TURNS, 7)]
+    batches = [given[i::3] for i in range(3)]
+    found = run_unsorted(spark, tmp_path, batches, "c")
+    assert found == {(i if i != 5 else None, m, n) for i, m, n in want}
+    stored = sorted(p.name for p in (tmp_path / "c" / "messages").iterdir() if p.name[0] != ".")
+    assert stored == ["base=1", "batch=2"]
+    empty = T._States(spark, str(tmp_path / "none"), "`session` int").before()
+    new = spark.createDataFrame(given, "session int, seq int, chars string")
+    plan = T.ended_words(new, empty, ["session"])._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "FlatMapGroups" not in plan
+
+
+def run_unsorted(spark, tmp_path, batches, folder):
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "session int, seq int, chars string").coalesce(1).write.json(str(tmp_path / f"in/b{k}"))
+    stream = spark.readStream.schema("session int, seq int, chars string").option("maxFilesPerTrigger", 1)
+    known = spark.createDataFrame([(w,) for w in WORDS], "word string")
+    found = T.typed_messages(stream.option("recursiveFileLookup", True).json(str(tmp_path / "in")), known, ["session"], str(tmp_path / folder))
+    return {(r.session, r.message, r.n_unknown) for r in found.collect()}
